@@ -61,9 +61,14 @@ def _parse(raw: str) -> Address:
     for part in _SPLIT.split(s):
         stops.add(len(toks))
         for t in _TOKEN.findall(part):
+            if t.isalpha():
+                toks.append("st" if t == "saint" else t)
+                continue
             if "'" in t:
                 t = t.split("'")[1] if len(t.split("'")[0]) <= 2 else t.replace("'", "")
-            if t[0].isdigit():
+            if t.isdigit():
+                pass
+            elif t[0].isdigit():
                 if _ORD.match(t):
                     t = ORDINALS.get(t, t)
                 elif not _NUMBER.match(t):
@@ -72,8 +77,8 @@ def _parse(raw: str) -> Address:
                 t = t.translate(DIGIT_AS_LETTER)
             toks.append("st" if t == "saint" else t)
     n = len(toks)
-    number = [bool(_NUMBER.match(t)) for t in toks]
-    kinds = [i for i, t in enumerate(toks) if not number[i] and t in STREET_TYPE]
+    number = [t[0] in "0123456789" and (t.isdigit() or _NUMBER.match(t) is not None) for t in toks]
+    kinds = [i for i, t in enumerate(toks) if t in STREET_TYPE]
     best = None
     for i in kinds:
         kind = STREET_TYPE[toks[i]]

@@ -45,37 +45,65 @@ def parse_name(raw: str | None) -> Name | None:
     return _parse(raw)
 
 
+WORD, LETTER, NUMBER, FORM = range(4)
+_kinds: dict[str, tuple] = {}
+
+
+def _kind(tok: str) -> tuple:
+    """(word, what it is, line of business, given name, given name if spelled exactly) of a token."""
+    t = tok
+    if not t.isalpha():
+        if t.isdigit():
+            out = (t, NUMBER, "", "", "")
+        else:
+            t = t.translate(DIGIT_AS_LETTER)
+            out = (t, WORD, business_of(t), given_of(t), GIVEN_OF.get(t, "")) if len(t) > 1 else (t, LETTER, "", "", "")
+    elif t in LEGAL:
+        out = (t, FORM, "", "", "")
+    elif len(t) == 1:
+        out = (t, LETTER, "", "", "")
+    else:
+        out = (t, WORD, business_of(t), given_of(t), GIVEN_OF.get(t, ""))
+    if len(_kinds) > 400_000:
+        _kinds.clear()
+    _kinds[tok] = out
+    return out
+
+
 @lru_cache(maxsize=50_000)
 def _parse(raw: str) -> Name | None:
     toks = tokens_of(raw)
     given, core, biz = "", [], []
-    n_words = sum(len(t) > 1 for t in toks)
     for t in toks:
-        if any(c.isdigit() for c in t):
-            if not any(c.isalpha() for c in t):
+        kind = _kinds.get(t)
+        if kind is None:
+            kind = _kind(t)
+        t, what, b, g, exact = kind
+        if what == WORD:
+            if g and (not core or not given):
+                g = g if not core else exact
+            else:
+                g = "" if core else g
+            if b and not (g and not given):
+                biz.append(b)
+            elif g:
+                given = given if len(given) > 1 else g
+            else:
                 core.append(t)
-                continue
-            t = t.translate(DIGIT_AS_LETTER)
-        if t in LEGAL and n_words > 1:
-            continue
-        if len(t) == 1:
+        elif what == LETTER:
             if not given:
                 given = t
-            continue
-        b = business_of(t)
-        g = given_of(t) if not core else GIVEN_OF.get(t, "") if not given else ""
-        if b and not (g and not given):
-            biz.append(b)
-        elif g:
-            given = given if len(given) > 1 else g
-        else:
+        elif what == NUMBER:
             core.append(t)
+    if not core and not biz and not given:
+        core = [t for t in toks if len(t) > 1]
     if not biz and given == "patricia" and "pat" in toks:
         given, biz = "", ["patisserie"]
     joined = "".join(core)
     return Name(given, tuple(sorted(core)), tuple(sorted(set(biz))), joined)
 
 
+@lru_cache(maxsize=200_000)
 def soundex_like(tok: str) -> str:
     """First letter, then classes of the consonants, repeats dropped; vowels and h, w, y carry nothing."""
     out, last = tok[0], ""
