@@ -51,7 +51,8 @@ _word_cache: dict[str, str] = {}
 @lru_cache(maxsize=20_000)
 def _parse(raw: str) -> Address:
     s = " ".join(plain(_GLUED.sub(" ; ", raw)).replace("’", "'").split())
-    s = _ZIP4.sub(r"\1", s)
+    if "-" in s:
+        s = _ZIP4.sub(r"\1", s)
     if _UNIT_HINT.search(s):
         s = _UNIT.sub(" ; ", s)
     s = _DROP.sub(" ", s)

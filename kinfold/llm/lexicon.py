@@ -137,48 +137,52 @@ def is_subsequence(short: str, long: str) -> bool:
     return all(c in it for c in short)
 
 
-_business_cache: dict[str, str] = {}
+def _ends(words: list[str]) -> dict[str, list[str]]:
+    """Words by their first three and by their last three letters: a word with a typo or two keeps one of them."""
+    out: dict[str, list[str]] = {}
+    for w in words:
+        out.setdefault("^" + w[:3], []).append(w)
+        out.setdefault("$" + w[-3:], []).append(w)
+    return out
+
+
+_BUSINESS_ENDS = _ends([w for w in BUSINESS if len(w) >= 5])
+_GIVEN_ENDS = _ends(GIVEN_LONG)
+_VOWELS = set("aeiou")
 
 
 def business_of(tok: str) -> str:
     """The line-of-business word that tok stands for, or ''."""
-    hit = _business_cache.get(tok)
-    if hit is not None:
-        return hit
-    out = ""
     if tok in BUSINESS_ABBR:
-        out = BUSINESS_ABBR[tok]
-    elif tok in BUSINESS_SET:
-        out = tok
-    elif len(tok) >= 3:
-        same = _BY_FIRST.get(tok[0], ())
-        if len(tok) >= 5:
-            near = [w for w in same if len(w) >= 5 and within(tok, w, 1 if len(w) < 8 else 2)]
-            out = BUSINESS_ABBR.get(near[0], near[0]) if near else ""
-        if not out and not any(v in tok[1:] for v in ("ai", "ou", "ea")):
-            # an abbreviation keeps the first three letters, or drops vowels only
-            near = [w for w in same if len(tok) < len(w) - 1 and (w.startswith(tok) or (is_subsequence(tok, w) and not set("aeiou") & set(tok[1:])))]
-            out = BUSINESS_ABBR.get(near[0], near[0]) if len(near) == 1 else ""
-    if len(_business_cache) > 400_000:
-        _business_cache.clear()
-    _business_cache[tok] = out
-    return out
-
-
-_given_cache: dict[str, str] = {}
+        return BUSINESS_ABBR[tok]
+    if tok in BUSINESS_SET:
+        return tok
+    n = len(tok)
+    if n < 3:
+        return ""
+    found = ""
+    if n >= 5:
+        for w in (*_BUSINESS_ENDS.get("^" + tok[:3], ()), *_BUSINESS_ENDS.get("$" + tok[-3:], ())):
+            if w[0] == tok[0] and within(tok, w, 1 if len(w) < 8 else 2):
+                found = w
+                break
+    if not found and n <= 9:
+        if _VOWELS.isdisjoint(tok[1:]):
+            # consonants of a word, in order
+            near = [w for w in _BY_FIRST.get(tok[0], ()) if n < len(w) - 1 and is_subsequence(tok, w)]
+        else:
+            near = [w for w in dict.fromkeys(_BUSINESS_ENDS.get("^" + tok[:3], ())) if n < len(w) - 1 and w.startswith(tok)]
+        found = near[0] if len(near) == 1 else ""
+    return BUSINESS_ABBR.get(found, found)
 
 
 def given_of(tok: str) -> str:
     """The given name that tok stands for, or ''."""
-    hit = _given_cache.get(tok)
-    if hit is not None:
-        return hit
     out = GIVEN_OF.get(tok, "")
     if not out and len(tok) >= 6:
-        out = next((GIVEN_OF[g] for g in GIVEN_LONG if g[0] == tok[0] and within(tok, g, 1)), "")
-    if len(_given_cache) > 400_000:
-        _given_cache.clear()
-    _given_cache[tok] = out
+        for g in (*_GIVEN_ENDS.get("^" + tok[:3], ()), *_GIVEN_ENDS.get("$" + tok[-3:], ())):
+            if g[0] == tok[0] and within(tok, g, 1):
+                return GIVEN_OF[g]
     return out
 
 
