@@ -10,9 +10,9 @@ def found_keys(df: DataFrame, key: str, share: float = 0.05) -> DataFrame:
 
     Counts combine map-side, so a key with a third of all rows sends one partial row per task. At most 1/share keys come out.
     Empty table: no rows. Repeated rows count each time; other columns are never read."""
-    per_key = df.groupBy(F.col(key).alias(key)).agg(F.count(F.lit(1)).alias("n"))
-    total = per_key.agg(F.sum("n").alias("total"))
-    return per_key.join(F.broadcast(total)).where(F.col(key).isNotNull() & (F.col("n") > F.lit(share) * F.col("total"))).select(key)
+    per_key = df.groupBy(F.col(key).alias(key)).agg(F.count(F.lit(1)).alias("_n"))
+    total = per_key.agg(F.sum("_n").alias("_total"))
+    return per_key.join(F.broadcast(total)).where(F.col(key).isNotNull() & (F.col("_n") > F.lit(share) * F.col("_total"))).select(key)
 
 
 def key_stats(df: DataFrame, key: str) -> DataFrame:
