@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.skew import join_unique_right
-from ..sources.scratch import shared_dir
+from ..sources.scratch import materialize, shared_dir
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def connected_components(pairs: DataFrame, a: str, b: str, nodes: DataFrame | No
     shared folder. Raises if `rounds` are not enough."""
     spark = pairs.sparkSession
     shared_dir(spark)
-    p = pairs.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    p = materialize(pairs.select(F.col(a).alias("u"), F.col(b).alias("v")).distinct(), "links")
     every = p.select(F.col("u").alias("node")).union(p.select(F.col("v").alias("node")))
     if nodes is not None:
         every = every.union(nodes.select(F.col(nodes.columns[0]).alias("node")))

@@ -246,28 +246,32 @@ def detect(docs: DataFrame, codes: DataFrame) -> DataFrame:
     probability of the language over them.
 
     docs(doc_id, text, lang); codes(label, lang) is the table of labels, a dimension of fixed size. The body is the decoded text without
-    headers, attachments and data lines. Null, empty and blank texts, and texts without full sentences, give no rows. Whole texts.
+    headers, attachments and data lines. Null, empty and blank texts, and texts without full sentences, give no rows; nor does a row without
+    an id. Rows with one id are judged one by one. Whole texts.
 
     Script ranges narrow a word's candidates; word scores come from a bounded sample of labelled documents (FIT_DOCS, FIT_WORDS); Viterbi
     over the words of a paragraph, with a penalty for switching, labels spans; a sentence has the label of most of its telling words.
     One narrow pass over the documents, no shuffle."""
     scores = _fitted(docs, codes)
-    return docs.select("doc_id", "text").mapInArrow(_label(scores, False), "doc_id bigint, lang string, sentences bigint, confidence double")
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_label(scores, False), "doc_id bigint, lang string, sentences bigint, confidence double")
 
 
 def segments(docs: DataFrame, codes: DataFrame) -> DataFrame:
     """(doc_id, first, last, lang, words, confidence): runs of sentences of one language, by the ordinals of their first and last sentence."""
     scores = _fitted(docs, codes)
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(
         _label(scores, True), "doc_id bigint, first bigint, last bigint, lang string, words bigint, confidence double"
     )
 
 
 def relabelled(docs: DataFrame, codes: DataFrame, least: int = MIN_SENTENCES) -> DataFrame:
-    """(doc_id, lang): the languages with at least `least` full sentences, of documents whose stored label doesn't already say so alone."""
+    """(doc_id, lang): the languages with at least `least` full sentences, of documents whose stored label doesn't already say so alone.
+
+    Rows with one id count as one document: it has the languages of any of them, and its label is right only if all of them have it."""
     langs = detect(docs, codes).where(F.col("sentences") >= least)
     per = langs.groupBy("doc_id").agg(F.collect_set("lang").alias("langs"))
     known = codes.select("label", F.col("lang").alias("_lang")).distinct()
-    stored = docs.select("doc_id", F.col("lang").alias("_label")).join(F.broadcast(known), F.col("_label") == F.col("label"), "left").select("doc_id", "_lang")
-    right = (F.size("langs") == 1) & F.coalesce(F.element_at("langs", 1) == F.col("_lang"), F.lit(False))
+    labels = docs.select("doc_id", F.col("lang").alias("_label")).join(F.broadcast(known), F.col("_label") == F.col("label"), "left")
+    stored = labels.groupBy("doc_id").agg(F.collect_set(F.coalesce("_lang", F.lit(""))).alias("stored"))
+    right = (F.size("langs") == 1) & (F.col("stored") == F.col("langs"))
     return per.join(stored, "doc_id").where(~right).select("doc_id", F.explode("langs").alias("lang"))

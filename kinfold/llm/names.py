@@ -5,6 +5,8 @@ import re
 from functools import lru_cache
 from typing import NamedTuple
 
+from xxhash import xxh3_64_intdigest
+
 from .lexicon import DIGIT_AS_LETTER, GIVEN_OF, LEGAL, _DOTTED, business_of, given_of, plain, present, within
 
 _WORD = re.compile(r"[a-z0-9]+")
@@ -128,9 +130,12 @@ def block_keys(n: Name) -> list[str]:
     if not words:
         return [biz + "|"] if biz else []
     codes = sorted(soundex_like(w) for w in words)
-    keys = {biz + "|" + " ".join(codes)}
+    # a set of codes is keyed by the sum of their hashes: leaving one out takes one subtraction, however long the name
+    each = [xxh3_64_intdigest(c) for c in codes]
+    total = sum(each)
+    keys = {f"{biz}|{len(each)}:{total & _MASK:x}"}
     if len(codes) > 1:
-        keys |= {biz + "|-" + " ".join(codes[:i] + codes[i + 1 :]) for i in range(len(codes))}
+        keys |= {f"{biz}|{len(each) - 1}:{(total - h) & _MASK:x}" for h in each}
     j = n.joined
     if len(codes) <= 2 and len(j) >= 6:
         h = len(j) // 2
@@ -138,6 +143,9 @@ def block_keys(n: Name) -> list[str]:
     return sorted(keys)
 
 
+_MASK = (1 << 64) - 1
+
+
 def jaro_winkler(a: str, b: str) -> float:
     if a == b:
         return 1.0

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +38,6 @@ def _split_blocks():
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        import xxhash
         import zstandard
 
         find = regex.compile(PATTERN).findall
@@ -51,8 +51,8 @@ def _split_blocks():
         def block() -> pa.RecordBatch:
             ids = np.array(docs, np.int64)
             seq = np.concatenate(seqs) if seqs else np.zeros(0, np.int32)
-            name = xxhash.xxh3_128_hexdigest(ids.tobytes())
-            row = [[name], [ids.tobytes()], [np.array(lens, np.int32).tobytes()], [pack(seq.tobytes())], [list(table)]]
+            # blocks are written before they are read, so a name need only be unique
+            row = [[uuid.uuid4().hex], [ids.tobytes()], [np.array(lens, np.int32).tobytes()], [pack(seq.tobytes())], [list(table)]]
             return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(row, schema)], schema=schema)
 
         for batch in batches:
@@ -140,14 +140,14 @@ def _join_back(counts_only: bool):
 def encode(df: DataFrame, doc: str = "doc_id", text: str = "text", ranks: str = DEFAULT_RANKS, counts_only: bool = False) -> DataFrame:
     """(doc_id, ids), or (doc_id, n_tokens) with counts_only: each text's token ids by a byte-level tokenizer, without special tokens.
 
-    doc: an integer column without nulls, unique. A null or empty text has an empty list (0 tokens). Strings of special tokens are
+    doc: an integer column; a row without an id gives none, a repeated id a row for each. A null or empty text has an empty list (0 tokens). Strings of special tokens are
     ordinary text. Whole texts; other columns are never read. ranks: the vocabulary file, readable on every executor.
 
     Texts are split into words once. Per block of texts the words are numbered, so that a text is a run of small numbers; the distinct
     words of all blocks are encoded once each; a join by word gives every block the ids of its words, and positions are filled from
     that. What shuffles is words per block, not occurrences: a word in every text is one row per block."""
     spark = df.sparkSession
-    blocks = df.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+    blocks = df.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null").mapInArrow(
         _split_blocks(), "block string, docs binary, lens binary, seq binary, words array<string>"
     )
     blocks = materialize(blocks, "blocks")
