@@ -77,11 +77,12 @@ def fit_words(rows: list[tuple[str | None, str | None]], most: int = FIT_WORDS)
     for i, l in enumerate(LANGS):
         for w in SEEDS[l].split():
             seeds[fold(w)].append(i)
-    scores: dict[str, np.ndarray] = {}
+    prior: dict[str, np.ndarray] = {}
     for w, ls in seeds.items():
         v = np.full(K, -1.5)
         v[ls] = 0.0
-        scores[w] = v
+        prior[w] = v
+    scores = dict(prior)
     sents = []
     for text, label in rows:
         vote = LANGS.index(label) if label in LANGS else -1
@@ -113,12 +114,12 @@ def fit_words(rows: list[tuple[str | None, str | None]], most: int = FIT_WORDS)
         for w, _ in docs.most_common(most):
             v = np.array([math.log((counts[i][w] + 0.02) / (totals[i] + 0.02 * size)) for i in range(K)])
             n = sum(c[w] for c in counts)
-            # a word met rarely, such as a name, says little
-            new[w] = np.maximum((v - v.max()) * min(1.0, n / 12.0), FLOOR)
-        for w, v in scores.items():
-            if turn == 0 and w not in new:
-                new[w] = v
-        scores = new
+            # a word met rarely, such as a name, says little, and a seed what it said before
+            sure = min(1.0, n / 12.0)
+            new[w] = np.maximum((v - v.max()) * sure, FLOOR)
+            if w in prior:
+                new[w] += prior[w] * (1.0 - sure)
+        scores = prior | new
     return scores
 
 

@@ -41,7 +41,7 @@ def tokens_of(raw: str) -> list[str]:
 
 
 def parse_name(raw: str | None) -> Name | None:
-    """None for a missing name. Legal forms, articles and country remarks are left out."""
+    """None for a missing name and for one without a letter or digit. Legal forms, articles and country remarks are left out."""
     if not present(raw):
         return None
     return _parse(raw)
@@ -98,7 +98,9 @@ def _parse(raw: str) -> Name | None:
         elif what == NUMBER:
             core.append(t)
     if not core and not biz and not given:
-        core = [t for t in toks if len(t) > 1]
+        core = [t for t in toks if len(t) > 1] or toks
+        if not core:
+            return None
     if not biz and given == "patricia" and "pat" in toks:
         given, biz = "", ["patisserie"]
     joined = "".join(core)
