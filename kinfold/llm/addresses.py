@@ -18,12 +18,14 @@ _UNIT = re.compile(
     r"|\b(?:near|behind|opp|opposite|beside|next\s+to)\b\.?\s+[a-z]+(?:\s+(?:tank|stand|talkies|temple|station|school|market|mall|park))?"
     r"|#\d*[a-z]\b|#\s?[a-z]\d+\b"
 )
-_UNIT_HINT = re.compile(r"su|st[e ]|un|sh|fl|ap|ro|bp|ba|es|et|re|rd|ne|be|op|#")
+_DROP = r"\b(?:h\.?\s*no|plot\s*no|door\s*no|d\.?\s*no|no|pin|code|cedex)\b\.?|n[o°]\b\.?|#|\bf-(?=\d{5})"
+_LEFT_OUT = re.compile(_UNIT.pattern + "|" + _DROP)
+_GLUED_HINT = re.compile(r"[a-zà-ÿ0-9][A-Z][A-Za-z]|[a-z]\d")
 _GLUED = re.compile(r"(?<=[a-zà-ÿ])(?=[A-Z][A-Za-z])|(?<=[a-z])(?=\d+ [A-Z])|(?<=\d)(?=[A-Z][a-z]{2})")
 _ZIP4 = re.compile(r"(\d{5})-\d{4}\b")
-_SPLIT = re.compile(r"[,;]| - | / |- (?=\d)")
-_DROP = re.compile(r"\b(?:h\.?\s*no|plot\s*no|door\s*no|d\.?\s*no|no|pin|code|cedex)\b\.?|n[o°]\b\.?|#|\bf-(?=\d{5})")
-_TOKEN = re.compile(r"\d+(?:[/-]\d+)*[a-z]?(?![a-z0-9])|[a-z0-9]+(?:'[a-z]+)?")
+_SPACE_HINT = re.compile(r"\d{3} \d{3}")
+SEPARATORS = {",", ";", "-", "/"}
+_TOKEN = re.compile(r"\d+(?:[/-]\d+)*[a-z]?(?![a-z0-9])|[a-z0-9]+(?:'[a-z]+)?|[,;]|(?<=\s)[-/]|[-/](?=\s)")
 _NUMBER = re.compile(r"\d+(?:[/-]\d+)*[a-z]?$")
 _ORD = re.compile(r"\d+(?:st|nd|rd|th)$")
 SMALL = {"de", "du", "des", "la", "le", "les", "l", "d", "sur", "sous"}
@@ -51,33 +53,37 @@ _word_cache: dict[str, str] = {}
 
 @lru_cache(maxsize=20_000)
 def _parse(raw: str) -> Address:
-    s = " ".join(plain(_GLUED.sub(" ; ", raw)).replace("’", "'").split())
+    if _GLUED_HINT.search(raw):
+        raw = _GLUED.sub(" ; ", raw)
+    s = plain(raw)
+    if "’" in s:
+        s = s.replace("’", "'")
     if "-" in s:
         s = _ZIP4.sub(r"\1", s)
-    if _UNIT_HINT.search(s):
-        s = _UNIT.sub(" ; ", s)
-    s = _DROP.sub(" ", s)
-    s = _SPACE_PIN.sub(r"\1\2", " ".join(s.split()))
+    s = _LEFT_OUT.sub(" ; ", s)
+    if _SPACE_HINT.search(s):
+        s = _SPACE_PIN.sub(r"\1\2", s)
     toks: list[str] = []
-    stops: set[int] = set()  # positions before which a separator stands
-    for part in _SPLIT.split(s):
-        stops.add(len(toks))
-        for t in _TOKEN.findall(part):
-            if t.isalpha():
-                toks.append("st" if t == "saint" else t)
-                continue
+    stops: set[int] = {0}  # positions before which a separator stands
+    for t in _TOKEN.findall(s):
+        if t.isalpha():
+            toks.append("st" if t == "saint" else t)
+            continue
+        if t in SEPARATORS:
+            stops.add(len(toks))
+            continue
+        if not t.isdigit():
             if "'" in t:
-                t = t.split("'")[1] if len(t.split("'")[0]) <= 2 else t.replace("'", "")
-            if t.isdigit():
-                pass
-            elif t[0].isdigit():
+                head, _, tail = t.partition("'")
+                t = tail if len(head) <= 2 else t.replace("'", "")
+            if t[0].isdigit():
                 if _ORD.match(t):
                     t = ORDINALS.get(t, t)
                 elif not _NUMBER.match(t):
                     t = t.translate(DIGIT_AS_LETTER)
             elif not t.isalpha():
                 t = t.translate(DIGIT_AS_LETTER)
-            toks.append("st" if t == "saint" else t)
+        toks.append(t)
     n = len(toks)
     number = [t[0] in "0123456789" and (t.isdigit() or _NUMBER.match(t) is not None) for t in toks]
     kinds = [i for i, t in enumerate(toks) if t in STREET_TYPE]
