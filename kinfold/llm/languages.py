@@ -88,7 +88,7 @@ def fit_words(rows: list[tuple[str | None, str | None]], most: int = FIT_WORDS)
         vote = LANGS.index(label) if label in LANGS else -1
         for par in split_text(text):
             for _, full, words in par:
-                if full and len(words) >= 4:
+                if full:
                     sents.append((vote, words))
     for turn in range(3):
         counts = [Counter() for _ in LANGS]

@@ -170,8 +170,10 @@ def business_of(tok: str) -> str:
         if _VOWELS.isdisjoint(tok[1:]):
             # consonants of a word, in order
             near = [w for w in _BY_FIRST.get(tok[0], ()) if n < len(w) - 1 and is_subsequence(tok, w)]
-        else:
+        elif n >= 4:
             near = [w for w in dict.fromkeys(_BUSINESS_ENDS.get("^" + tok[:3], ())) if n < len(w) - 1 and w.startswith(tok)]
+        else:
+            near = []
         found = near[0] if len(near) == 1 else ""
     return BUSINESS_ABBR.get(found, found)
 
