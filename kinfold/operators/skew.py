@@ -77,3 +77,16 @@ def join_unique_right(left: DataFrame, right: DataFrame, on: str, weight: str, h
     return tagged.where(F.col("_hot")).drop("_hot").join(F.broadcast(heavy), on, how).unionByName(
         tagged.where(F.col("_hot").isNull()).drop("_hot").join(light, on, how)
     )
+
+
+def meet_within(df: DataFrame, key: str, count: str, cols: list[str], limit: int = 1000) -> DataFrame:
+    """Self join of df by key as (key, a_*, b_*), where `count` is the number of rows of the key.
+
+    A key of more than `limit` rows is split: its left rows are spread by a hash of `cols` over ceil(count / limit) salts and its right
+    rows are repeated once per salt, so a task meets at most about `limit` left rows of a key with the key's right rows. Keys below the
+    limit are neither split nor repeated. The caller filters the order it wants, such as a_x < b_x."""
+    salts = F.ceil(F.col(count) / F.lit(limit)).cast("int")
+    base = df.withColumn("_salts", salts)
+    left = base.select(key, F.pmod(F.xxhash64(*cols), F.col("_salts")).cast("int").alias("_salt"), *[F.col(c).alias("a_" + c) for c in cols])
+    right = base.select(key, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"), *[F.col(c).alias("b_" + c) for c in cols])
+    return left.join(right, [key, "_salt"]).drop("_salt")

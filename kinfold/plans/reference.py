@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import blocking, entities, evaluate, frequency, profile, scoring, training
+from ..sources.scratch import materialize
 from ..sources.tables import table
 
 CFG = blocking.BlockingConfig(max_token_freq=25, cap=20)
@@ -363,8 +364,7 @@ def inspect_entity(s, d):
 
 def _model(s, d):
     p, a, b = _train(s, d)
-    f = scoring.features(training.stratified_split(p), a, b, "training")
-    f = f.persist()
+    f = materialize(scoring.features(training.stratified_split(p), a, b, "training"), "features")
     return training.fit(f.where("part = 'train'")), f
 
 

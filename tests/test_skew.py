@@ -40,3 +40,10 @@ def test_join_with_hot_keys(spark):
     right = left.groupBy("k").agg(F.count(F.lit(1)).alias("w")).withColumn("m", F.col("k") * 2)
     out = skew.join_unique_right(left, right, "k", "w")
     assert out.count() == 2_000_000 and out.where("m <> k * 2").count() == 0
+
+
+def test_meeting_within_a_hot_key(spark):
+    df = spark.createDataFrame([("hot", f"v{i:03d}") for i in range(130)] + [("x", "p"), ("x", "q"), ("y", "r")], "k string, v string")
+    n = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = skew.meet_within(df.join(n, "k"), "k", "n", ["v"], limit=20).where("a_v < b_v").collect()
+    assert len(out) == len({tuple(r) for r in out}) == 130 * 129 // 2 + 1
