@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import meet_within
 from ..sources.scratch import materialize
 from .components import connected_components
 from .lexicon import present
@@ -89,9 +90,9 @@ def class_links(records: DataFrame) -> DataFrame:
     common = common_words(classes)
     keys = materialize(classes.mapInArrow(_blocks, "cls string, key string"), "name-keys")
     # keys of one class alone make no pair
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    keys = keys.join(shared, "key")
-    pairs = keys.select("key", F.col("cls").alias("a")).join(keys.select("key", F.col("cls").alias("b")), "key").where("a < b").select("a", "b").distinct()
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = meet_within(keys.join(shared, "key"), "key", "n", ["cls"]).where("a_cls < b_cls")
+    pairs = pairs.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct()
     return pairs.mapInArrow(_verify(common), "a string, b string, score double")
 
 
@@ -117,11 +118,9 @@ def variant_pairs(df: DataFrame, ident: str = "entity_id", name: str = "business
     reduce to distinct (form, name) entries, only differing entries of a group meet, and ids are attached at the end."""
     groups = materialize(name_groups(df, ident, name), "name-groups")
     entries = groups.groupBy("group_id", "cls", "name").agg(F.count(F.lit(1)).alias("n"))
-    many = entries.groupBy("group_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("group_id")
-    entries = entries.join(many, "group_id")
-    x = entries.select("group_id", F.col("cls").alias("ca"), F.col("name").alias("na"))
-    y = entries.select("group_id", F.col("cls").alias("cb"), F.col("name").alias("nb"))
-    met = x.join(y, "group_id").where("na < nb").select("ca", "cb", "na", "nb")
+    many = entries.groupBy("group_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    met = meet_within(entries.join(many, "group_id"), "group_id", "k", ["cls", "name"]).where("a_name < b_name")
+    met = met.select(F.col("a_cls").alias("ca"), F.col("b_cls").alias("cb"), F.col("a_name").alias("na"), F.col("b_name").alias("nb"))
     met = met.mapInArrow(_compatible, "ca string, cb string, na string, nb string").select("na", "nb").distinct()
     ids = groups.select("id", "name").distinct()
     out = met.join(ids.select(F.col("id").alias("ia"), F.col("name").alias("na")), "na").join(ids.select(F.col("id").alias("ib"), F.col("name").alias("nb")), "nb")

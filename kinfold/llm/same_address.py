@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import meet_within
 from ..sources.scratch import materialize
 from .addresses import Address, address_like, parse_address
 
@@ -111,11 +112,9 @@ def class_links(records: DataFrame) -> DataFrame:
     affine-gap alignment of their words verifies them. Forms without a house number make no pair."""
     classes = with_towns(records.select("cls").distinct()).where("cls not like '|%'")
     keys = materialize(classes.mapInArrow(_bands, "cls string, full string, key bigint"), "address-keys")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    keys = keys.join(shared, "key")
-    x = keys.select("key", F.col("cls").alias("a"), F.col("full").alias("fa"))
-    y = keys.select("key", F.col("cls").alias("b"), F.col("full").alias("fb"))
-    pairs = x.join(y, "key").where("a < b").select("a", "b", "fa", "fb").distinct()
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = meet_within(keys.join(shared, "key"), "key", "n", ["cls", "full"]).where("a_cls < b_cls")
+    pairs = pairs.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b"), F.col("a_full").alias("fa"), F.col("b_full").alias("fb")).distinct()
     return pairs.mapInArrow(_verify, "a string, b string, score double")
 
 
