@@ -2,12 +2,13 @@
 from __future__ import annotations
 
 import base64
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +35,14 @@ def _encoding(path: str):
 
 
 def _split_blocks():
-    schema = pa.schema([("block", pa.string()), ("docs", pa.binary()), ("lens", pa.binary()), ("seq", pa.binary()), ("words", pa.list_(pa.string()))])
+    schema = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("lens", pa.binary()), ("seq", pa.binary()), ("words", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
         import zstandard
 
         find = regex.compile(PATTERN).findall
+        number = count(TaskContext.get().partitionId() << 32)
         pack = zstandard.ZstdCompressor(level=1).compress
         docs: list[int] = []
         lens: list[int] = []
@@ -52,7 +54,7 @@ def _split_blocks():
             ids = np.array(docs, np.int64)
             seq = np.concatenate(seqs) if seqs else np.zeros(0, np.int32)
             # blocks are written before they are read, so a name need only be unique
-            row = [[uuid.uuid4().hex], [ids.tobytes()], [np.array(lens, np.int32).tobytes()], [pack(seq.tobytes())], [list(table)]]
+            row = [[next(number)], [ids.tobytes()], [np.array(lens, np.int32).tobytes()], [pack(seq.tobytes())], [list(table)]]
             return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(row, schema)], schema=schema)
 
         for batch in batches:
@@ -148,7 +150,7 @@ def encode(df: DataFrame, doc: str = "doc_id", text: str = "text", ranks: str =
     that. What shuffles is words per block, not occurrences: a word in every text is one row per block."""
     spark = df.sparkSession
     blocks = df.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null").mapInArrow(
-        _split_blocks(), "block string, docs binary, lens binary, seq binary, words array<string>"
+        _split_blocks(), "block bigint, docs binary, lens binary, seq binary, words array<string>"
     )
     blocks = materialize(blocks, "blocks")
     words = blocks.select("block", F.posexplode("words").alias("at", "word"))
