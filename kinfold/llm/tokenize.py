@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count
@@ -77,11 +78,16 @@ def _split_blocks():
     return run
 
 
+def _width(path: str) -> str:
+    """Type code of the ids on their way: two bytes where the vocabulary allows it."""
+    return "H" if max(_ranks(path).values()) < 1 << 16 else "I"
+
+
 def _encode_words(path: str):
-    schema = pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32()))])
+    schema = pa.schema([("word", pa.string()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _ranks(path)
+        ranks, code = _ranks(path), _width(path)
         enc = _encoding(path)._core_bpe.encode_single_piece
         for batch in batches:
             words = batch.column(0)
@@ -89,17 +95,18 @@ def _encode_words(path: str):
             for w in words.to_pylist():
                 b = w.encode()
                 r = ranks.get(b)
-                out.append([r] if r is not None else enc(b))
-            yield pa.RecordBatch.from_arrays([words, pa.array(out, pa.list_(pa.int32()))], schema=schema)
+                out.append(array(code, (r,) if r is not None else enc(b)).tobytes())
+            yield pa.RecordBatch.from_arrays([words, pa.array(out, pa.binary())], schema=schema)
 
     return run
 
 
-def _join_back(counts_only: bool):
+def _join_back(path: str, counts_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
+        kind = np.dtype(np.uint16 if _width(path) == "H" else np.uint32)
         for batch in batches:
             for r in range(batch.num_rows):
                 docs = np.frombuffer(batch.column(0)[r].as_py(), np.int64)
@@ -113,9 +120,9 @@ def _join_back(counts_only: bool):
                 if pairs is not None and n_words:
                     at = pairs.field("at").to_numpy(zero_copy_only=False)
                     ids = pairs.field("ids")
-                    offsets = ids.offsets.to_numpy()
-                    starts[at], sizes[at] = offsets[:-1], np.diff(offsets)
-                    flat = ids.values.to_numpy(zero_copy_only=False)
+                    offsets = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+                    starts[at], sizes[at] = offsets[:-1] // kind.itemsize, np.diff(offsets) // kind.itemsize
+                    flat = np.frombuffer(ids.buffers()[2], np.uint8)[: offsets[-1]].view(kind).astype(np.int32)
                 ends = np.cumsum(lens)
                 if counts_only:
                     total = np.concatenate([[0], np.cumsum(sizes[seq])])
@@ -154,11 +161,11 @@ def encode(df: DataFrame, doc: str = "doc_id", text: str = "text", ranks: str =
     )
     blocks = materialize(blocks, "blocks")
     words = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    table = words.select("word").distinct().mapInArrow(_encode_words(ranks), "word string, ids array<int>")
+    table = words.select("word").distinct().mapInArrow(_encode_words(ranks), "word string, ids binary")
     per_block = words.join(table.hint("shuffle_hash"), "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("pairs"))
     back = blocks.select("block", "docs", "lens", "seq").join(per_block, "block", "left").select("docs", "lens", "seq", "pairs")
     out = "doc_id bigint, n_tokens bigint" if counts_only else "doc_id bigint, ids array<int>"
-    return back.mapInArrow(_join_back(counts_only), out)
+    return back.mapInArrow(_join_back(ranks, counts_only), out)
 
 
 def decode(encoded: DataFrame, ranks: str = DEFAULT_RANKS) -> DataFrame:
