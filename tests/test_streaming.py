@@ -1,4 +1,4 @@
-from kinfold.sources.io import ENTITY, write_tsv
+from kinfold.sources.io import ENTITY
 from kinfold.streaming.intake import arriving, match_arriving
 
 
