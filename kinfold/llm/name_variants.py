@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..operators.skew import meet_within
 from ..sources.scratch import materialize
 from .components import connected_components
-from .lexicon import present
 from .names import Name, block_keys, given_like, name_like, parse_name
 
 SAME = 0.85

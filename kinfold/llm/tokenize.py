@@ -155,7 +155,6 @@ def encode(df: DataFrame, doc: str = "doc_id", text: str = "text", ranks: str =
     Texts are split into words once. Per block of texts the words are numbered, so that a text is a run of small numbers; the distinct
     words of all blocks are encoded once each; a join by word gives every block the ids of its words, and positions are filled from
     that. What shuffles is words per block, not occurrences: a word in every text is one row per block."""
-    spark = df.sparkSession
     blocks = df.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null").mapInArrow(
         _split_blocks(), "block bigint, docs binary, lens binary, seq binary, words array<string>"
     )
