@@ -35,6 +35,13 @@ def test_missing_parts_match_where_clear(spark):
     assert accepted(run(spark, ref, tg)) == {("S1-1", "S2-1"), ("S1-1", "S2-2"), ("S1-2", "S2-3")}
 
 
+def test_damaged_names_without_an_address(spark):
+    """A typo that moves a consonant class, split and joined words, on either side; an initial beside a line of business."""
+    ref = [("S1-1", "Wild Ash Eagle Dental", A, "US"), ("S1-2", "Per ninfeav Jewellers", B, "US"), ("S1-3", "Hearluvkun Foods", None, "US"), ("S1-4", "Susanne Insurance", A, "US")]
+    tg = [("S2-1", "Wikd Ash Eagle Dental", None, "US"), ("S2-2", "Perninfeav Jewellers", None, "US"), ("S2-3", "Hearlukvun Foods", B, "US"), ("S2-4", "S. Insurance", None, "US")]
+    assert accepted(run(spark, ref, tg)) == {(f"S1-{i}", f"S2-{i}") for i in range(1, 5)}
+
+
 def test_two_organisations_in_one_building_make_a_nameless_record_unclear(spark):
     ref = [("S1-1", "Vorpandam Trading", A, "US"), ("S1-2", "Kairnidlean Foods", A, "US")]
     tg = [("S2-1", "Vorpandam Trading", A, "US"), ("S2-2", "Kairnidlean Foods", A, "US"), ("S2-3", None, A, "US")]
