@@ -51,7 +51,7 @@ def stratified_split(pairs: DataFrame, share: float = 0.2) -> DataFrame:
     return ranked.select(*pairs.columns, part.alias("part"))
 
 
-def fit(features: DataFrame, rounds: int = 20, step: float = 0.08, depth: int = 5, seed: int = 42):
+def fit(features: DataFrame, rounds: int = 300, step: float = 0.08, depth: int = 5, seed: int = 42):
     """Gradient-boosted trees over the 17 features. Boosting with a limit on leaves and an L2 term has no built-in equal; depth-limited
     trees are the closest."""
     from pyspark.ml import Pipeline

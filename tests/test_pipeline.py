@@ -90,3 +90,14 @@ def test_empty_tables(ends):
     s1, tg = ends
     assert blocking.candidates(s1.limit(0), tg, blocking.BlockingConfig()).count() == 0
     assert blocking.candidates(s1, tg.limit(0), blocking.BlockingConfig()).count() == 0
+
+
+def test_registered_models_boost_all_surveyed_rounds(spark, monkeypatch):
+    """SURVEY L2: 300 iterations at step 0.08."""
+    from pyspark.ml import Pipeline
+
+    from kinfold.plans import reference
+
+    monkeypatch.setattr(Pipeline, "fit", lambda self, _: self)
+    boost = reference._model(spark, "/root/testdata/sf0.001")[0].getStages()[-1]
+    assert (boost.getMaxIter(), boost.getStepSize()) == (300, 0.08)
