@@ -1,6 +1,7 @@
 """Registered queries of the entity-resolution pipeline over the test tables.
 
-Cutoffs are parameters; the queries use small ones, so that the limits take effect on small tables too. All run over whole tables; the
+Cutoffs are parameters; most queries use small ones, so that the limits take effect on small tables too. best_match and the queries
+called *_production use those of production. All run over whole tables; the
 experiments that are defined over a sample of references (2,000) say so in their name in the catalogue: baseline, sweep, recall at k."""
 from __future__ import annotations
 
@@ -14,6 +15,8 @@ from ..sources.tables import table
 
 CFG = blocking.BlockingConfig(max_token_freq=25, cap=20)
 CFG_V1 = blocking.BlockingConfig(max_token_freq=50, k_name=2, k_address=2, cap=20, exact_bonus=100_000.0, exact_blocks=False)
+PRODUCTION = blocking.BlockingConfig()
+PRODUCTION_V1 = blocking.BlockingConfig(max_token_freq=1000, k_name=2, k_address=2, exact_bonus=100_000.0, exact_blocks=False)
 EXPERIMENT_CUTOFF, SAMPLE = 25, 2_000
 CUTOFFS = [5, 10, 25, 50, 100]
 
@@ -162,8 +165,16 @@ def candidate_volume(s, d):
     return c.unionByName(both).groupBy("target_source").agg(F.count(F.lit(1)).alias("n_references"), *evaluate.distribution(c, "n"), F.round(F.stddev_samp("n"), 4).alias("std"), *over)
 
 
-def _v2(s, d):
-    return blocking.candidates(_s1(s, d), _tg(s, d), CFG)
+def topk_idf_production(s, d):
+    return _pairs(blocking.idf_ranked(_s1(s, d), _tg(s, d), 5000, 1000), "score", "rank")
+
+
+def hybrid_rank_production(s, d):
+    return _pairs(blocking.count_ranked(_s1(s, d), _tg(s, d), 5000, 1000), "score", "rank")
+
+
+def _v2(s, d, cfg=CFG):
+    return blocking.candidates(_s1(s, d), _tg(s, d), cfg)
 
 
 def candidates_v2(s, d):
@@ -174,6 +185,14 @@ def candidates_v1(s, d):
     return _pairs(blocking.candidates(_s1(s, d), _tg(s, d), CFG_V1), "score")
 
 
+def candidates_v2_production(s, d):
+    return _pairs(_v2(s, d, PRODUCTION), F.col("protected").cast("long").alias("protected"), "score")
+
+
+def candidates_v1_production(s, d):
+    return _pairs(blocking.candidates(_s1(s, d), _tg(s, d), PRODUCTION_V1), "score")
+
+
 def protected_cap(s, d):
     return _v2(s, d).groupBy(F.col("s").alias("source1_entity_id")).agg(F.sum("protected").alias("n_protected"), F.count(F.lit(1)).alias("n_kept"))
 
@@ -187,8 +206,8 @@ def stage1_cheap_score(s, d):
     return _pairs(c, "name_exact", "address_exact", "name_shared", "address_shared", "score")
 
 
-def _stage1(s, d):
-    return scoring.stage1(_v2(s, d), _s1(s, d), _tg(s, d))
+def _stage1(s, d, cfg=CFG):
+    return scoring.stage1(_v2(s, d, cfg), _s1(s, d), _tg(s, d))
 
 
 def stage1_top20(s, d):
@@ -377,7 +396,7 @@ def classifier_metrics(s, d):
 def best_match(s, d):
     model, _ = _model(s, d)
     s1, tg = _s1(s, d), _tg(s, d)
-    return training.best_match(training.scored(model, scoring.features(_stage1(s, d).select("s", "t"), s1, tg)), s1)
+    return training.best_match(training.scored(model, scoring.features(_stage1(s, d, PRODUCTION).select("s", "t"), s1, tg)), s1)
 
 
 def queries():
@@ -392,7 +411,7 @@ def queries():
         protected_cap, run_totals, stage1_cheap_score, stage1_top20, stage1_reduction, features_serving, features_training, truth_pairs,
         training_positives, training_negatives, stratified_split, jaccard_variants, recall_block_exact, recall_shared_token, recall_rare_cutoff,
         recall_min_freq, recall_shared_count, recall_numeric, recall_hybrid_rule, weighted_score_dist, similarity_profile, sweep_rarest, sweep_hybrid,
-        recall_at_k, missing_values, dup_ids, country_counts, match_count_hist, match_summary, match_type, match_by_country, name_dup_profile,
+        recall_at_k, candidates_v2_production, candidates_v1_production, topk_idf_production, hybrid_rank_production, missing_values, dup_ids, country_counts, match_count_hist, match_summary, match_type, match_by_country, name_dup_profile,
         name_dup_summary, unique_names_by_country, top_names, inspect_entity, classifier_metrics, best_match,
     ]
     return {f.__name__: f for f in fs} | named

@@ -101,3 +101,15 @@ def test_registered_models_boost_all_surveyed_rounds(spark, monkeypatch):
     monkeypatch.setattr(Pipeline, "fit", lambda self, _: self)
     boost = reference._model(spark, "/root/testdata/sf0.001")[0].getStages()[-1]
     assert (boost.getMaxIter(), boost.getStepSize()) == (300, 0.08)
+
+
+def test_best_match_chooses_from_the_candidates_of_production(spark, monkeypatch):
+    from kinfold.plans import reference
+
+    d = "/root/testdata/sf0.01"
+    s1, tg = reference._s1(spark, d), reference._tg(spark, d)
+    want, small = (set(ids(scoring.stage1(blocking.candidates(s1, tg, c), s1, tg))) for c in (blocking.BlockingConfig(), reference.CFG))
+    monkeypatch.setattr(reference, "_model", lambda s, d: (None, None))
+    monkeypatch.setattr(training, "scored", lambda model, features: features)
+    monkeypatch.setattr(training, "best_match", lambda scores, s1: scores)
+    assert set(ids(reference.best_match(spark, d))) == want and len(want) > len(small)

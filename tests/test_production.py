@@ -1,0 +1,19 @@
+"""Queries with the cutoffs of production against the SQL of their small namesakes with those cutoffs."""
+import pytest
+from oracle import same
+
+from kinfold.plans import reference, reference_sql
+
+SQL = reference_sql.oracle_sql()
+WITH = {
+    "candidates_v2": (reference_sql.V2, reference_sql.base() + ", " + reference_sql.candidates(3, 3, 500, 500, "1000000.0", True)),
+    "candidates_v1": (reference_sql.V1, reference_sql.base() + ", " + reference_sql.candidates(2, 2, 1000, 500, "100000.0", False)),
+}
+
+
+@pytest.mark.parametrize("name", ["candidates_v2", "candidates_v1", "topk_idf", "hybrid_rank"])
+def test_matches_sql(spark, name):
+    old, new = WITH.get(name, ("df <= 100)", "df <= 5000)"))
+    sql = SQL[name].replace(old, new).replace("rank <= 50", "rank <= 1000")
+    assert sql != SQL[name]
+    same(spark, reference.queries(), {f"{name}_production": sql}, f"{name}_production")
