@@ -17,8 +17,6 @@ from .names import Name, block_keys, given_like, jaro_winkler, name_like, parse_
 ACCEPT = 0.5
 #: Log odds from which a pair counts as the match itself when classes of records are told apart.
 STRONG = 4.0
-#: Records that lack an address are compared by name only where at most this many buildings have the name.
-CLEAR_BUILDINGS = 3
 #: Belief propagation: weight of the one-to-one factors, damping, settled change, rounds.
 WEIGHT, DAMP, SETTLED, ROUNDS = 1.0, 0.25, 0.05, 10
 
@@ -28,7 +26,7 @@ SEEN_ROWS = 100_000
 #: Class of candidates that don't compete.
 OWN = "own"
 
-REC = "side int, id string, name string, addr string, k1 bigint, k2 bigint, k3 bigint, kn bigint, kb array<bigint>, bld string, org string"
+REC = "side int, id string, name string, addr string, k1 bigint, k2 bigint, k3 bigint, kb array<bigint>, bld string, org string"
 
 
 def _hash(text: str) -> int:
@@ -37,7 +35,7 @@ def _hash(text: str) -> int:
 
 
 def _record(name: Name | None, addr: Address | None) -> tuple:
-    """(name form, address form, three block hashes by address, one by name, all by parts of the name, building, organisation roughly); None where it has none."""
+    """(name form, address form, three block hashes by address, all by the name, building, organisation roughly); None where it has none."""
     h = _hash
     ns = f"{name.given}|{' '.join(name.core)}|{' '.join(name.business)}|{'' if len(name.core) < 2 else name.joined}" if name else None
     kn = (h("n" + "+".join(name.business) + "|" + " ".join(sorted(map(soundex_like, name.core))) + "|" + name.given[:1])) if name and (name.core or name.given or name.business) else None
@@ -54,13 +52,13 @@ def _record(name: Name | None, addr: Address | None) -> tuple:
         k3 = (h(f"3{addr.house}|{soundex_like(first) if first else ''}|{soundex_like(addr.town.split(' ')[0])[:4] if addr.town else ''}"))
         bld = addr.house
     org = "+".join(name.business) + "|" + (name.core[0][0] if name.core else name.given[:1]) if name else None
-    return ns, as_, k1, k2, k3, kn, kb, bld, org
+    return ns, as_, k1, k2, k3, kb, bld, org
 
 
 def _parse(side: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
-        types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string()]
+        types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string()]
         for batch in batches:
             cols: tuple[list, ...] = tuple([] for _ in types)
             adds = [c.append for c in cols]
@@ -73,7 +71,7 @@ def _parse(side: int):
             if len(seen) > SEEN_ROWS:
                 seen.clear()
             arrays = [pa.array(c, t) for c, t in zip(cols, types)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), side, np.int32)), *arrays], ["side", "id", "name", "addr", "k1", "k2", "k3", "kn", "kb", "bld", "org"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), side, np.int32)), *arrays], ["side", "id", "name", "addr", "k1", "k2", "k3", "kb", "bld", "org"])
 
     return run
 
@@ -144,11 +142,9 @@ def candidates(refs: DataFrame, targets: DataFrame) -> DataFrame:
     one-to-one factors tell apart."""
     keys = lambda d, p: d.where("addr is not null").select(F.col("id").alias(p), F.explode(F.array("k1", "k2", "k3")).alias("kh")).where("kh is not null")
     met = keys(refs, "s_id").join(keys(targets, "t_id"), "kh").select("s_id", "t_id")
-    # a record without an address meets by any part of its name, where the name stands for few buildings among references and targets
-    both = refs.select("kn", "bld").union(targets.select("kn", "bld")).where("kn is not null")
-    hot = both.groupBy("kn").agg(F.approx_count_distinct("bld", 0.05).alias("n_bld")).where(f"n_bld > {CLEAR_BUILDINGS}").select("kn")
+    # a record without an address meets by any part of its name; where many buildings have the name, their factor makes each unlikely
     parts = lambda d, p: d.select(F.col("id").alias(p), F.explode("kb").alias("kh"))
-    rb, tb = (d.where("addr is null and kn is not null").join(hot, "kn", "left_anti") for d in (refs, targets))
+    rb, tb = (d.where("addr is null") for d in (refs, targets))
     byname = parts(rb, "s_id").join(parts(targets, "t_id"), "kh").select("s_id", "t_id")
     byname = byname.union(parts(refs.where("addr is not null"), "s_id").join(parts(tb, "t_id"), "kh").select("s_id", "t_id"))
     # one exchange serves both: pairs once each, and the join with the targets
@@ -226,7 +222,7 @@ def match(ref: DataFrame, targets: list[DataFrame], ident: str = "entity_id", na
 
     Blocks by address: house number with postcode, with the longest telling word's phonetic code, with the codes of street and town. A
     record without an address meets those that share a phonetic key of the name: all telling words, all but one, halves of a lone one, or
-    all written as one (`names.block_keys`); not where records of its own code have more than CLEAR_BUILDINGS house numbers. Pairs become variables of
+    all written as one (`names.block_keys`), however many buildings have the name; buildings are told apart by house number. Pairs become variables of
     `propagate`, which turns log odds into marginal probabilities under one-to-one factors between classes of records."""
 
     def read(df: DataFrame, side: int) -> DataFrame:

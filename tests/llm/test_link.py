@@ -42,6 +42,13 @@ def test_damaged_names_without_an_address(spark):
     assert accepted(run(spark, ref, tg)) == {(f"S1-{i}", f"S2-{i}") for i in range(1, 5)}
 
 
+def test_a_name_of_many_buildings_is_judged(spark):
+    """Every building of the name is a candidate, and none is likely."""
+    ref = [(f"S1-{i}", "Vorpandam Trading", f"{i} Elm Avenue, Rudkeasfield, AZ 39753", "US") for i in range(10, 16)]
+    out = run(spark, ref, [("S2-1", "Vorpandam Trading", None, "US")])
+    assert set(out) == {(r[0], "S2-1") for r in ref} and not accepted(out)
+
+
 def test_two_organisations_in_one_building_make_a_nameless_record_unclear(spark):
     ref = [("S1-1", "Vorpandam Trading", A, "US"), ("S1-2", "Kairnidlean Foods", A, "US")]
     tg = [("S2-1", "Vorpandam Trading", A, "US"), ("S2-2", "Kairnidlean Foods", A, "US"), ("S2-3", None, A, "US")]
