@@ -1,7 +1,7 @@
 """Results per key where a few keys hold most rows, and joins with such keys."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -47,36 +47,66 @@ def top_per_key(df: DataFrame, key: str, value: str, k: int = 10) -> DataFrame:
 def rank_per_key(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Standard rank of every distinct time of a key within the key, ties sharing one rank: (key, ts, n, rank). Null times are left out.
 
-    No task ever sorts the rows of a hot key: rows collapse to (key, time) counts, these to (key, day) counts, and a rank is the sum over
-    earlier days plus the sum over earlier times of the day. Windows run over days per key and times per day only."""
+    No task ever sorts the rows of a hot key: rows collapse to (key, time) counts, these to counts per second, hour and day, and a rank is
+    the sum over earlier days, over earlier hours of the day, seconds of the hour and times of the second. A window holds the days of a
+    key, 24 hours, 3,600 seconds or the distinct times of one second of one key."""
     times = df.where(F.col(ts).isNotNull()).groupBy(F.col(key).alias(key), F.col(ts).alias(ts)).agg(F.count(F.lit(1)).alias("n"))
-    times = times.withColumn("day", F.to_date(ts))
-    days = times.groupBy(key, "day").agg(F.sum("n").alias("n_day"))
-    before = Window.partitionBy(key).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(F.col(key).alias("_k"), F.col("day").alias("_d"), F.coalesce(F.sum("n_day").over(before), F.lit(0)).alias("earlier"))
-    within = Window.partitionBy(key, "day").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        times.withColumn("_in", F.coalesce(F.sum("n").over(within), F.lit(0)))
-        .join(days, F.col(key).eqNullSafe(F.col("_k")) & (F.col("day") == F.col("_d")))
-        .select(key, ts, "n", (F.col("earlier") + F.col("_in") + 1).alias("rank"))
-    )
-
-
-def join_unique_right(left: DataFrame, right: DataFrame, on: str, weight: str, hot: int = 1000, how: str = "inner") -> DataFrame:
-    """Join left to right, whose `on` is unique and whose `weight` is the number of left rows with that key.
-
-    Keys with at least 1/hot of all left rows, of which there are at most `hot`, go by broadcast; the rest go by a shuffle in which no
-    key holds more than 1/hot of the rows."""
-    total = right.agg(F.sum(weight).alias("t")).head()["t"] or 0
-    is_hot: Column = F.col(weight) >= F.lit(max(1, total // hot))
-    if total < 1_000_000:
-        return left.join(right.drop(weight), on, how)
-    heavy, light = right.where(is_hot).drop(weight), right.where(~is_hot).drop(weight)
-    marks = heavy.select(on).withColumn("_hot", F.lit(True))
-    tagged = left.join(F.broadcast(marks), on, "left")
-    return tagged.where(F.col("_hot")).drop("_hot").join(F.broadcast(heavy), on, how).unionByName(
-        tagged.where(F.col("_hot").isNull()).drop("_hot").join(light, on, how)
-    )
+    levels = ["_day", "_hour", "_second"]
+    out = times.select("*", *[F.date_trunc(x[1:], ts).alias(x) for x in levels]).withColumn("rank", F.lit(1).cast("long"))
+    within = Window.partitionBy(key, "_second").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+    out = out.withColumn("rank", F.col("rank") + F.coalesce(F.sum("n").over(within), F.lit(0)))
+    sums = times.groupBy(key, F.date_trunc("second", ts).alias("_second")).agg(F.sum("n").alias("n"))
+    for level, above in (("_second", "_hour"), ("_hour", "_day"), ("_day", None)):
+        names = [key, level] if above is None else [key, above, level]
+        if above is not None:
+            sums = sums.withColumn(above, F.date_trunc(above[1:], level))
+        w = Window.partitionBy(*names[:-1]).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        earlier = sums.select(F.col(key).alias("_k"), F.col(level).alias("_l"), F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_before"))
+        out = out.join(earlier, F.col(key).eqNullSafe(F.col("_k")) & (F.col(level) == F.col("_l"))).withColumn("rank", F.col("rank") + F.col("_before")).drop("_k", "_l", "_before")
+        if above is not None:
+            sums = sums.groupBy(key, above).agg(F.sum("n").alias("n"))
+    return out.select(key, ts, "n", "rank")
+
+
+#: `join_split` looks for hot keys among one in SAMPLED rows, drawn at random.
+SAMPLED = 16
+
+
+def join_split(left: DataFrame, right: DataFrame, on: str, unique: bool = False, hot: int = 1000, least: int = 100_000) -> DataFrame:
+    """Inner join on a column that may repeat on both sides, and in which one key may hold a third of all rows.
+
+    A sample of the rows tells which keys have more than 1/hot of the rows of a side and more than about `least` rows (fewer than
+    2 * hot keys, which are broadcast). Such a key is spread over a grid of g x g cells, g the square root of its share times hot: a left
+    row goes into one row of the grid and a right row into one column of it, so a task meets 1/g of either side. With unique=True, for a
+    right side that has each key once, left rows spread over the share times hot cells and the right row is repeated in each. The sample
+    decides on the spreading alone; the result is that of a plain join. Null keys meet nothing."""
+
+    def seen(df: DataFrame) -> tuple[DataFrame, int, int]:
+        c = df.where(F.rand(7) * SAMPLED < 1).groupBy(F.col(on).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        r = c.where("_k is not null").agg(F.sum("_n").alias("t"), F.max("_n").alias("m")).head()
+        return c, r["t"] or 0, r["m"] or 0
+
+    heavy = None
+    for df in (left,) if unique else (left, right):
+        c, total, most = seen(df)
+        if most * SAMPLED > least and most * hot > total:
+            own = c.where((F.col("_n") * hot > total) & (F.col("_n") * SAMPLED > least) & F.col("_k").isNotNull())
+            cells = F.col("_n") * F.lit(hot) / F.lit(total)
+            own = own.select("_k", F.ceil(cells if unique else F.sqrt(cells)).cast("int").alias("_g"))
+            heavy = own if heavy is None else heavy.unionByName(own)
+    if heavy is None:
+        return left.join(right, on)
+    grid = F.broadcast(heavy.groupBy("_k").agg(F.max("_g").alias("_g")))
+
+    def spread(df: DataFrame, mine: str, other: str) -> DataFrame:
+        own = F.pmod(F.xxhash64(*df.columns), F.col("_g")).cast("int")
+        if unique:
+            at = F.explode(F.sequence(F.lit(0), F.col("_g") - 1)) if df is right else own
+            return df.join(grid, df[on] == grid["_k"], "left").withColumn("_g", F.coalesce("_g", F.lit(1))).select(*df.columns, at.alias("_row"), F.lit(0).alias("_col"))
+        d = df.join(grid, df[on] == grid["_k"], "left").withColumn("_g", F.coalesce("_g", F.lit(1)))
+        return d.select(*df.columns, own.alias(mine), F.explode(F.sequence(F.lit(0), F.col("_g") - 1)).alias(other))
+
+    return spread(left, "_row", "_col").join(spread(right, "_col", "_row"), [on, "_row", "_col"]).drop("_row", "_col")
 
 
 def meet_within(df: DataFrame, key: str, count: str, cols: list[str], limit: int = 1000) -> DataFrame:

@@ -35,11 +35,20 @@ def test_rank_equals_plain_rank(spark):
     assert got == {k: 1 + sum(c == k[0] and t < k[1] for c, t in rows) for k in rows}
 
 
-def test_join_with_hot_keys(spark):
-    left = spark.range(2_000_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
-    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("w")).withColumn("m", F.col("k") * 2)
-    out = skew.join_unique_right(left, right, "k", "w")
-    assert out.count() == 2_000_000 and out.where("m <> k * 2").count() == 0
+def test_split_join_with_a_unique_side(spark):
+    left = spark.range(6_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    right = left.select("k").distinct().withColumn("m", F.col("k") * 2)
+    out = skew.join_split(left, right, "k", unique=True, hot=50, least=100)
+    assert out.count() == 6_000 and out.where("m <> k * 2").count() == 0
+
+
+def test_split_join_is_the_plain_join(spark):
+    left = spark.range(6_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("a"))
+    right = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, None).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("b"))
+    out = skew.join_split(left, right, "k", hot=50, least=100)
+    assert "_row" in out._jdf.queryExecution().toString()
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    assert skew.join_split(left.limit(0), right, "k").count() == 0
 
 
 def test_meeting_within_a_hot_key(spark):
