@@ -4,23 +4,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import join_unique_right
+from ..operators.skew import join_split
 from ..sources.scratch import materialize, shared_dir
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node u links its larger neighbours to the smallest of its neighbourhood."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("w"))
-    out = join_unique_right(both, least, "u", "w").where("v > u")
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    out = join_split(both, least, "u", unique=True).where("v > u")
     return out.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node u links itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("w"))
-    out = join_unique_right(down, least, "u", "w").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    out = join_split(down, least, "u", unique=True).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return out.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
@@ -42,7 +42,7 @@ def connected_components(pairs: DataFrame, a: str, b: str, nodes: DataFrame | No
     makes a node. nodes: one column of further nodes; a node without links is its own component. Empty input: no rows.
 
     Large-star and small-star joins alternate until a round changes no edge, O(log^2 n) rounds. Minima combine map-side; the join back to
-    a node with many edges goes by `join_unique_right`, so no task holds a hub's neighbourhood. Each round ends in checkpoint(), in the
+    a node with many edges goes by `join_split`, so no task holds a hub's neighbourhood. Each round ends in checkpoint(), in the
     shared folder. Raises if `rounds` are not enough."""
     spark = pairs.sparkSession
     shared_dir(spark)
