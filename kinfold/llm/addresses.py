@@ -2,31 +2,30 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from functools import lru_cache
 from typing import NamedTuple
 
-from .lexicon import DIGIT_AS_LETTER, FRENCH_TYPES, ORDINALS, STATE_WORDS, STREET_TYPE, plain, present, within
+from .lexicon import DIGIT_AS_LETTER, FRENCH_TYPES, ORDINALS, PLACE_WORD, STATE_WORDS, STREET_TYPE, plain, present, within
 
 _SPACE_PIN = re.compile(r"(?<![\d/-])(\d{3}) (\d{3})(?!\d| ?[a-z/-]*\d*[-/]\d)")
-_UNIT = re.compile(
-    r"\b(?:suite|ste|unit|shop|flat|apt|apartment|room|bp|bat|batiment|escalier|esc)\b\.?\s*(?:no\b\.?|n0|#)?\s*[a-z]?\d*[a-z]?\b"
-    r"|\b\d+\s*(?:st|nd|rd|th|er|e|eme)?\s*(?:fl|floor|etage)\b\.?"
-    r"|\b(?:gr|ground)\b\.?\s*(?:fl|floor)\b"
-    r"|\b(?:fl|floor|etage)\.?\s*\d+\b"
-    r"|\brear\s+(?:bldg|building)\b|\brdc\b|\bresidence\s+\S+(?:\s+(?:des?|du|les?)\s+\S+)?"
-    r"|\b(?:near|behind|opp|opposite|beside|next\s+to)\b\.?\s+[a-z]+(?:\s+(?:tank|stand|talkies|temple|station|school|market|mall|park))?"
-    r"|#\d*[a-z]\b|#\s?[a-z]\d+\b"
+_LANDMARK = r"(?:near|behind|opp|opposite|beside|next\s+to)\b\.?\s+[a-z]+(?:\s+(?:tank|stand|talkies|temple|station|school|market|mall|park))?"
+# parts within or near a building, and words that only announce a number
+_LEFT_OUT = re.compile(
+    r"\b(?:(?:suite|ste|unit|shop|flat|apt|apartment|room|bp|bat|batiment|escalier|esc)\b\.?\s*(?:no\b\.?|n0|#)?\s*[a-z]?\d*[a-z]?\b"
+    r"|\d+\s*(?:st|nd|rd|th|er|e|eme)?\s*(?:fl|floor|etage)\b\.?"
+    r"|(?:gr|ground)\b\.?\s*(?:fl|floor)\b"
+    r"|(?:fl|floor|etage)\.?\s*\d+\b"
+    r"|rear\s+(?:bldg|building)\b|rdc\b|residence\s+\S+(?:\s+(?:des?|du|les?)\s+\S+)?"
+    rf"|{_LANDMARK}"
+    r"|(?:h\.?\s*no|plot\s*no|door\s*no|d\.?\s*no|no|pin|code|cedex)\b\.?|n°\.?|f-(?=\d{5}))"
+    r"|#\d*[a-z]\b|#\s?[a-z]\d+\b|#"
 )
-_DROP = r"\b(?:h\.?\s*no|plot\s*no|door\s*no|d\.?\s*no|no|pin|code|cedex)\b\.?|n[o°]\b\.?|#|\bf-(?=\d{5})"
-_LEFT_OUT = re.compile(_UNIT.pattern + "|" + _DROP)
 _GLUED_HINT = re.compile(r"[a-zà-ÿ0-9][A-Z][A-Za-z]|[a-z]\d")
 _GLUED = re.compile(r"(?<=[a-zà-ÿ])(?=[A-Z][A-Za-z])|(?<=[a-z])(?=\d+ [A-Z])|(?<=\d)(?=[A-Z][a-z]{2})")
-_ZIP4 = re.compile(r"(\d{5})-\d{4}\b")
 _SPACE_HINT = re.compile(r"\d{3} \d{3}")
-SEPARATORS = {",", ";", "-", "/"}
 _TOKEN = re.compile(r"\d+(?:[/-]\d+)*[a-z]?(?![a-z0-9])|[a-z0-9]+(?:'[a-z]+)?|[,;]|(?<=\s)[-/]|[-/](?=\s)")
 _NUMBER = re.compile(r"\d+(?:[/-]\d+)*[a-z]?$")
+_ZIP4 = re.compile(r"\d{5}-\d{4}$")
 _ORD = re.compile(r"\d+(?:st|nd|rd|th)$")
 SMALL = {"de", "du", "des", "la", "le", "les", "l", "d", "sur", "sous"}
 BIS = {"bis", "ter", "quater"}
@@ -48,7 +47,38 @@ def parse_address(raw: str | None) -> Address | None:
     return _parse(raw)
 
 
-_word_cache: dict[str, str] = {}
+STOP, NUMBER, TOWN, OTHER_WORD = range(4)
+#: Of a token: what it reads as, what it may be, and its kind of street or ''.
+_tokens: dict[str, tuple[str, int, str]] = {}
+
+
+def _token(t: str) -> tuple[str, int, str]:
+    raw = t
+    if t.isalpha():
+        t = "st" if t == "saint" else t
+    elif _ZIP4.match(t):
+        t = t[:5]
+    elif not t.isdigit() and len(t) > 1:
+        if "'" in t:
+            head, _, tail = t.partition("'")
+            t = tail if len(head) <= 2 else t.replace("'", "")
+        if t[0].isdigit():
+            if _ORD.match(t):
+                t = ORDINALS.get(t, t)
+            elif not _NUMBER.match(t):
+                t = t.translate(DIGIT_AS_LETTER)
+        elif not t.isalpha():
+            t = t.translate(DIGIT_AS_LETTER)
+    if t in ",;-/":
+        what = STOP
+    elif t[0] in "0123456789" and _NUMBER.match(t):
+        what = NUMBER
+    else:
+        what = OTHER_WORD if len(t) < 3 or t in SMALL or t in STATE_WORDS or t in BIS or t in ("tamil", "nadu") else TOWN
+    if len(_tokens) > 300_000:
+        _tokens.clear()
+    out = _tokens[raw] = t, what, STREET_TYPE.get(t, "")
+    return out
 
 
 @lru_cache(maxsize=20_000)
@@ -58,148 +88,163 @@ def _parse(raw: str) -> Address:
     s = plain(raw)
     if "’" in s:
         s = s.replace("’", "'")
-    if "-" in s:
-        s = _ZIP4.sub(r"\1", s)
     s = _LEFT_OUT.sub(" ; ", s)
     if _SPACE_HINT.search(s):
         s = _SPACE_PIN.sub(r"\1\2", s)
     toks: list[str] = []
+    what: list[int] = []
+    kinds: list[tuple[int, str]] = []
     stops: set[int] = {0}  # positions before which a separator stands
-    for t in _TOKEN.findall(s):
-        if t.isalpha():
-            toks.append("st" if t == "saint" else t)
-            continue
-        if t in SEPARATORS:
+    for raw_token in _TOKEN.findall(s):
+        t, w, kind = _tokens.get(raw_token) or _token(raw_token)
+        if w == STOP:
             stops.add(len(toks))
             continue
-        if not t.isdigit():
-            if "'" in t:
-                head, _, tail = t.partition("'")
-                t = tail if len(head) <= 2 else t.replace("'", "")
-            if t[0].isdigit():
-                if _ORD.match(t):
-                    t = ORDINALS.get(t, t)
-                elif not _NUMBER.match(t):
-                    t = t.translate(DIGIT_AS_LETTER)
-            elif not t.isalpha():
-                t = t.translate(DIGIT_AS_LETTER)
+        if kind:
+            kinds.append((len(toks), kind))
         toks.append(t)
+        what.append(w)
     n = len(toks)
-    number = [t[0] in "0123456789" and (t.isdigit() or _NUMBER.match(t) is not None) for t in toks]
-    kinds = [i for i, t in enumerate(toks) if t in STREET_TYPE]
     best = None
-    for i in kinds:
-        kind = STREET_TYPE[toks[i]]
+    for i, kind in kinds:
         # number [bis] KIND name: the kind of street stands first
         j = i - 1
         bis = ""
-        if j >= 0 and toks[j] in BIS and j >= 1 and number[j - 1]:
+        if j >= 1 and toks[j] in BIS and what[j - 1] == NUMBER:
             bis, j = toks[j], j - 1
-        if kind in FRENCH_TYPES and j >= 0 and number[j] and i + 1 < n and not number[i + 1]:
+        if j >= 0 and what[j] == NUMBER and i + 1 < n and what[i + 1] != NUMBER and kind in FRENCH_TYPES:
             e = i + 1
-            while e < n and not number[e] and (e == i + 1 or e not in stops):
+            while e < n and what[e] != NUMBER and (e == i + 1 or e not in stops):
                 e += 1
             best = (j, toks[j] + bis, i + 1, e, kind, i)
             break
         # number name KIND
         j = i - 1
-        while j >= 0 and not number[j] and i - j <= 4 and (j + 1 == i or (j + 1) not in stops):
+        while j >= 0 and what[j] != NUMBER and i - j <= 4 and (j + 1 == i or (j + 1) not in stops):
             j -= 1
-        if j >= 0 and number[j] and j < i - 1:
-            cand = (j, toks[j], j + 1, i, kind, i)
-            if best is None or i - j < best[5] - best[0]:
-                best = cand
-    used: set[int] = set()
+        if j >= 0 and j < i - 1 and what[j] == NUMBER and (best is None or i - j < best[5] - best[0]):
+            best = (j, toks[j], j + 1, i, kind, i)
+    first = last = 0  # tokens of the street and its number
     if best:
-        j, house, a, b, kind, i = best
+        first, house, a, b, kind, i = best
         words = [t for t in toks[a:b] if t not in SMALL]
-        used = set(range(j, max(b, i + 1)))
+        last = max(b, i + 1)
     else:
         kind, words, house = "", [], ""
         # no kind of street: the first number that is not a postcode, and the words behind it
         for j in range(n):
-            if number[j] and (not toks[j].isdigit() or len(toks[j]) <= 4 or "-" in toks[j]):
+            if what[j] == NUMBER and (len(toks[j]) <= 4 or not toks[j].isdigit()):
                 e = j + 1
-                while e < n and not number[e] and e not in stops:
+                while e < n and what[e] != NUMBER and e not in stops:
                     e += 1
                 if e > j + 1 or not house:
                     house, words = toks[j], [t for t in toks[j + 1 : e] if t not in SMALL]
-                    used = set(range(j, e))
+                    first, last = j, e
                     if e > j + 1:
                         break
     side = ""
-    if words and len(words) > 1 and words[0] in ("n", "s", "e", "w", "north", "south", "east", "west"):
+    if len(words) > 1 and words[0] in _SIDES:
         side, words = words[0][0], words[1:]
     post, town = "", []
-    for i, t in enumerate(toks):
-        if i in used:
-            continue
-        if number[i]:
-            if t.isdigit() and len(t) in (4, 5, 6) and not post:
-                post = t
-        elif t not in SMALL and len(t) > 2 and t not in STATE_WORDS and t not in ("tamil", "nadu") and t not in BIS:
-            town.append(t)
-    house = house.lstrip("0") or house
-    return Address(house, " ".join(words), kind, post, " ".join(town), side)
+    for i in (*range(first), *range(last, n)):
+        w = what[i]
+        if w == TOWN:
+            town.append(toks[i])
+        elif w == NUMBER and not post and 4 <= len(toks[i]) <= 6 and toks[i].isdigit():
+            post = toks[i]
+    return Address(house.lstrip("0") or house, " ".join(words), kind, post, " ".join(town), side)
+
+
+_SIDES = {"n", "s", "e", "w", "north", "south", "east", "west"}
 
 
 def words_like(a: str, b: str) -> float:
-    """0 to 1 for two short runs of words by affine-gap alignment of their words: a damaged word costs by its edits, an abbreviation
-    little, a gap costs more to open than to extend."""
+    """0 to 1 for two runs of words, of any length: 1 less the cost of their affine-gap alignment for each word of the longer one."""
     if a == b:
         return 1.0
     if not a or not b:
         return 0.0
-    ja, jb = a.replace(" ", ""), b.replace(" ", "")
-    k = min(len(ja), len(jb))
-    if within(ja, jb, 1 if k < 6 else 2 if k < 12 else 3):
-        return 0.95
     xs, ys = a.split(), b.split()
-    if len(xs) == 1 and len(ys) == 1:
-        return 0.0
-    if len(xs) * len(ys) > LONG:
-        same = sum((Counter(xs) & Counter(ys)).values())
-        return 2 * same / (len(xs) + len(ys))
-    cost = align(xs, ys)
-    return max(0.0, 1.0 - cost / max(len(xs), len(ys)))
+    most = max(len(xs), len(ys))
+    return max(0.0, 1.0 - align(xs, ys, most) / most)
+
+
+#: Costs of opening and extending a gap, of two words written as one, and of words that have nothing in common.
+OPEN, EXTEND, JOIN, OTHER = 0.8, 0.4, 0.1, 2.0
 
 
-OPEN, EXTEND = 0.8, 0.4
-#: Cells of an alignment from which the share of common words stands in for it.
-LONG = 40_000
+def align(xs: list[str], ys: list[str], limit: float = float("inf")) -> float:
+    """Affine-gap alignment cost of two token lists; a word may also stand for two neighbours written as one. Costs beyond limit come out
+    as some number beyond it.
 
+    Equal ends cost nothing and are set aside. The rest is aligned within a band round the diagonal, which is doubled until a path that
+    leaves it would cost more than the best one inside, so the result is that of the whole table."""
+    i = 0
+    while i < len(xs) and i < len(ys) and xs[i] == ys[i]:
+        i += 1
+    j = 0
+    while j < len(xs) - i and j < len(ys) - i and xs[-1 - j] == ys[-1 - j]:
+        j += 1
+    xs, ys = xs[i : len(xs) - j], ys[i : len(ys) - j]
+    if not xs or not ys:
+        n = len(xs) + len(ys)
+        return OPEN + EXTEND * (n - 1) if n else 0.0
+    band, wide = 8, max(len(xs), len(ys))
+    while True:
+        cost = _banded(xs, ys, band + abs(len(xs) - len(ys)))
+        # a path reaches past the band only by words without a partner, or by words that stand for two at JOIN or more each
+        beyond = min(JOIN, EXTEND) * band
+        if band >= wide or cost <= beyond or beyond > limit:
+            return cost
+        band *= 2
 
-def align(xs: list[str], ys: list[str]) -> float:
-    """Affine-gap alignment cost of two token lists."""
+
+def _banded(xs: list[str], ys: list[str], band: int) -> float:
     inf = 1e9
     m = len(ys)
-    M = [0.0] + [inf] * m
-    X = [inf] * (m + 1)
-    Y = [inf] + [OPEN + EXTEND * j for j in range(m)]
+    width = m + 1
+    M, X, Y = [0.0] + [inf] * m, [inf] * width, [inf] + [OPEN + EXTEND * j for j in range(m)]
+    before: list[float] | None = None  # best of the row before the last, for two words of xs that are one of ys
+    best = [min(a, b, c) for a, b, c in zip(M, X, Y)]
     for i, x in enumerate(xs, 1):
-        M2, X2, Y2 = [inf] * (m + 1), [inf] * (m + 1), [inf] * (m + 1)
+        M2, X2, Y2 = [inf] * width, [inf] * width, [inf] * width
         X2[0] = OPEN + EXTEND * (i - 1)
-        for j, y in enumerate(ys, 1):
-            M2[j] = min(M[j - 1], X[j - 1], Y[j - 1]) + substitute(x, y)
+        lo, hi = max(1, i - band), min(m, i + band)
+        two = xs[i - 2] + x if i > 1 else ""
+        for j in range(lo, hi + 1):
+            y = ys[j - 1]
+            v = best[j - 1] + substitute(x, y)
+            if before is not None and before[j - 1] < v:
+                v = min(v, before[j - 1] + JOIN + substitute(two, y))
+            if j > 1 and best[j - 2] < v:
+                v = min(v, best[j - 2] + JOIN + substitute(x, ys[j - 2] + y))
+            M2[j] = v
             X2[j] = min(M[j] + OPEN, X[j] + EXTEND)
             Y2[j] = min(M2[j - 1] + OPEN, Y2[j - 1] + EXTEND)
+        before = best
         M, X, Y = M2, X2, Y2
-    return min(M[m], X[m], Y[m])
+        best = [min(a, b, c) for a, b, c in zip(M, X, Y)]
+    return best[m]
 
 
+@lru_cache(maxsize=100_000)
 def substitute(x: str, y: str) -> float:
+    """Little for one word in two writings (an abbreviation of the tables, a typo), more for the beginning of a word, else OTHER."""
     if x == y:
         return 0.0
-    if STREET_TYPE.get(x, x) == STREET_TYPE.get(y, y):
+    if canonical(x) == canonical(y):
         return 0.05
     k = min(len(x), len(y))
-    if k == 1:
-        return 0.2 if x[0] == y[0] else 2.0
-    if x.startswith(y) or y.startswith(x):
-        return 0.2
-    if within(x, y, 1 if k < 6 else 2 if k < 12 else 3):
+    if k > 1 and within(x, y, 1 if k < 6 else 2 if k < 12 else 3):
         return 0.1
-    return 2.0
+    if x.startswith(y) or y.startswith(x):
+        return 0.45
+    return OTHER
+
+
+def canonical(word: str) -> str:
+    """The full form of an abbreviation of a kind of street or of a word in street and town names."""
+    return STREET_TYPE.get(word) or PLACE_WORD.get(word, word)
 
 
 def address_like(a: Address, b: Address) -> float:

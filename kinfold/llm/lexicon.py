@@ -65,6 +65,21 @@ STREET_TYPES = {
 FRENCH_TYPES = {"rue", "place", "chemin", "impasse", "allee", "quai", "route", "avenue", "boulevard", "cours"}
 STREET_TYPE = {s: k for k, v in STREET_TYPES.items() for s in [k, *v.split()]}
 
+# Words of street and town names, each with its postal abbreviations.
+PLACE_WORDS = {
+    "mount": "mt mnt", "mountain": "mtn mntn", "fort": "ft frt", "lodge": "ldg ldge lodg", "point": "pt", "port": "prt", "heights": "hts ht",
+    "hill": "hl", "hills": "hls", "spring": "spg spng", "springs": "spgs spngs", "falls": "fls", "junction": "jct jctn", "village": "vlg vill",
+    "valley": "vly vally", "lake": "lk", "lakes": "lks", "grove": "grv grov", "garden": "gdn gardn", "gardens": "gdns grdns", "meadow": "mdw",
+    "meadows": "mdws", "ridge": "rdg rdge", "river": "rvr riv", "beach": "bch", "bridge": "brg brdg", "creek": "crk", "estate": "est",
+    "estates": "ests", "forest": "frst", "harbor": "hbr harbr", "island": "isl islnd", "landing": "lndg lndng", "manor": "mnr", "mill": "ml",
+    "mills": "mls", "plaza": "plz plza", "station": "sta statn stn", "summit": "smt sumit", "view": "vw", "vista": "vis vst", "center": "ctr cntr centre",
+    "cliff": "clf", "corner": "cor", "cove": "cv", "farm": "frm", "field": "fld", "fields": "flds", "glen": "gln", "green": "grn", "haven": "hvn",
+    "hollow": "holw hllw", "orchard": "orch", "pine": "pne", "shore": "shr", "union": "un", "well": "wl", "wells": "wls", "park": "pk", "gate": "gt",
+    "north": "n", "south": "s", "east": "e", "west": "w", "upper": "upr", "lower": "lwr", "great": "grt gt", "little": "ltl",
+    "general": "gal gnrl", "marechal": "mal", "docteur": "doct", "president": "pdt", "professeur": "pr prof", "faubourg": "fbg fg", "sainte": "ste",
+}
+PLACE_WORD = {s: k for k, v in PLACE_WORDS.items() for s in v.split()}
+
 # Regions with short forms.
 STATES = {
     "maharashtra": "mh", "tamil nadu": "tn", "kerala": "kl", "rajasthan": "rj", "punjab": "pb", "gujarat": "gj", "telangana": "ts tg",
