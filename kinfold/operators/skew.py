@@ -72,22 +72,27 @@ def rank_per_key(df: DataFrame, key: str, ts: str) -> DataFrame:
 SAMPLED = 16
 
 
-def join_split(left: DataFrame, right: DataFrame, on: str, unique: bool = False, hot: int = 1000, least: int = 100_000) -> DataFrame:
+def sampled(df: DataFrame) -> DataFrame:
+    return df.where(F.rand(7) * SAMPLED < 1)
+
+
+def join_split(left: DataFrame, right: DataFrame, on: str, unique: bool = False, hot: int = 1000, least: int = 100_000, look: list[DataFrame] | None = None) -> DataFrame:
     """Inner join on a column that may repeat on both sides, and in which one key may hold a third of all rows.
 
     A sample of the rows tells which keys have more than 1/hot of the rows of a side and more than about `least` rows (fewer than
     2 * hot keys, which are broadcast). Such a key is spread over a grid of g x g cells, g the square root of its share times hot: a left
     row goes into one row of the grid and a right row into one column of it, so a task meets 1/g of either side. With unique=True, for a
     right side that has each key once, left rows spread over the share times hot cells and the right row is repeated in each. The sample
-    decides on the spreading alone; the result is that of a plain join. Null keys meet nothing."""
+    decides on the spreading alone; the result is that of a plain join. Null keys meet nothing. Sides that are dear to compute are looked
+    at through `look`, cheaper samples of their rows (see `sampled`)."""
 
     def seen(df: DataFrame) -> tuple[DataFrame, int, int]:
-        c = df.where(F.rand(7) * SAMPLED < 1).groupBy(F.col(on).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        c = df.groupBy(F.col(on).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
         r = c.where("_k is not null").agg(F.sum("_n").alias("t"), F.max("_n").alias("m")).head()
         return c, r["t"] or 0, r["m"] or 0
 
     heavy = None
-    for df in (left,) if unique else (left, right):
+    for df in look or map(sampled, (left,) if unique else (left, right)):
         c, total, most = seen(df)
         if most * SAMPLED > least and most * hot > total:
             own = c.where((F.col("_n") * hot > total) & (F.col("_n") * SAMPLED > least) & F.col("_k").isNotNull())
