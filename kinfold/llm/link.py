@@ -1,91 +1,123 @@
-"""Matching a reference source with target sources by name and address, with a confidence."""
+"""Matching a reference source with target sources by name, address and country, with a confidence."""
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from ..operators.skew import join_split, sampled
 from ..sources.scratch import materialize, shared_dir
 from .addresses import Address, address_like, parse_address
-from .names import Name, block_keys, given_like, jaro_winkler, name_like, parse_name, soundex_like
+from .names import Name, given_like, jaro_winkler, name_like, parse_name
+from .phonetic import code, longest, name_keys, words
 
 #: Marginal probability from which a pair is reported.
 ACCEPT = 0.5
-#: Log odds from which a pair counts as the match itself when classes of records are told apart.
-STRONG = 4.0
-#: Belief propagation: weight of the one-to-one factors, damping, settled change, rounds.
-WEIGHT, DAMP, SETTLED, ROUNDS = 1.0, 0.25, 0.05, 10
-
-#: Rows a task remembers so that repeated deliveries are parsed once; those it forgets only cost time.
+#: Log odds of a candidate pair before its evidence; odds that a record has no partner, as its one-to-one factor weighs them.
+PRIOR, ALONE = -3.0, math.exp(-1.5)
+#: Log odds of two countries that differ; on the tables with known pairs none of 22,582 do, once their writings are told.
+ABROAD = -6.0
+#: Belief propagation: damping, change below which all is settled, rounds after which steps shrink.
+DAMP, SETTLED, FREE_ROUNDS = 0.25, 0.02, 20
+#: Rows a task remembers so that repeated deliveries are parsed once and copies are marked; those it forgets only cost time.
 SEEN_ROWS = 100_000
+#: The sieve of name keys: 64 bits a row, at most this many rows.
+SIEVE_ROWS = 1 << 18
+
+# Other writings of countries, in small letters without anything else.
+COUNTRY = {
+    "usa": "us", "unitedstates": "us", "unitedstatesofamerica": "us", "america": "us", "in": "india", "ind": "india", "bharat": "india", "fr": "france",
+    "fra": "france", "de": "germany", "deutschland": "germany", "gb": "unitedkingdom", "uk": "unitedkingdom", "greatbritain": "unitedkingdom",
+    "es": "spain", "espana": "spain", "it": "italy", "italia": "italy", "nl": "netherlands", "holland": "netherlands",
+}
+
+REC = "id string, name string, addr string, country string, fresh boolean"
+
+
+def country_of(c: Column) -> Column:
+    """One writing per country; null for a missing one."""
+    plain = F.regexp_replace(F.lower(c), "[^a-z]", "")
+    known = F.create_map(*[F.lit(x) for kv in COUNTRY.items() for x in kv])
+    return F.when(~plain.isin("", "na", "null", "none"), F.coalesce(F.try_element_at(known, plain), plain))
 
-#: Class of candidates that don't compete.
-OWN = "own"
-
-REC = "side int, id string, name string, addr string, k1 bigint, k2 bigint, k3 bigint, kb array<bigint>, bld string, org string"
-
-
-def _hash(text: str) -> int:
-    x = xxh3_64_intdigest(text)
-    return x - (1 << 64) if x >= 1 << 63 else x
-
-
-def _record(name: Name | None, addr: Address | None) -> tuple:
-    """(name form, address form, three block hashes by address, all by the name, building, organisation roughly); None where it has none."""
-    h = _hash
-    ns = f"{name.given}|{' '.join(name.core)}|{' '.join(name.business)}|{'' if len(name.core) < 2 else name.joined}" if name else None
-    kn = (h("n" + "+".join(name.business) + "|" + " ".join(sorted(map(soundex_like, name.core))) + "|" + name.given[:1])) if name and (name.core or name.given or name.business) else None
-    # a name without telling words has its initial or given name in one key only, that of the whole name
-    kb = [h("m" + k) for k in block_keys(name)] + ([kn] if not name.core else []) if kn is not None else None
-    as_ = k1 = k2 = k3 = bld = None
-    if addr and addr.house:
-        as_ = "|".join(addr)
-        first = addr.street.split(" ")[0]
-        if addr.post:
-            k1 = (h(f"1{addr.house}|{addr.post}"))
-        if name and name.core:
-            k2 = (h(f"2{addr.house}|{soundex_like(max(name.core, key=len))}"))
-        k3 = (h(f"3{addr.house}|{soundex_like(first) if first else ''}|{soundex_like(addr.town.split(' ')[0])[:4] if addr.town else ''}"))
-        bld = addr.house
-    org = "+".join(name.business) + "|" + (name.core[0][0] if name.core else name.given[:1]) if name else None
-    return ns, as_, k1, k2, k3, kb, bld, org
-
-
-def _parse(side: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict = {}
-        types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.string()]
-        for batch in batches:
-            cols: tuple[list, ...] = tuple([] for _ in types)
-            adds = [c.append for c in cols]
-            for i, n, a in zip(*(c.to_pylist() for c in batch.columns)):
-                if i in seen and seen[i] == (n, a):
-                    continue
-                seen[i] = (n, a)
-                for add, v in zip(adds, (i, *_record(parse_name(n), parse_address(a)))):
-                    add(v)
-            if len(seen) > SEEN_ROWS:
-                seen.clear()
-            arrays = [pa.array(c, t) for c, t in zip(cols, types)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), side, np.int32)), *arrays], ["side", "id", "name", "addr", "k1", "k2", "k3", "kb", "bld", "org"])
-
-    return run
-
-
-_NONE = Name("", (), (), "")
-
-
-def _name(s: str | None) -> Name | None:
-    if s is None:
+
+def name_form(name: Name | None) -> str | None:
+    return f"{name.given}|{' '.join(name.core)}|{' '.join(name.business)}|{name.joined if len(name.core) > 1 else ''}" if name else None
+
+
+def name_of(form: str | None) -> Name | None:
+    if form is None:
         return None
-    g, c, b, j = s.split("|")
+    g, c, b, j = form.split("|")
     return Name(g, tuple(c.split()), tuple(b.split()), j or c)
 
 
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Forms of name and address (an address without a house number is none). `fresh` marks the first row of its form in the task."""
+    seen: set = set()
+    forms: set = set()
+    for batch in batches:
+        ids, names, addrs, countries, fresh = [], [], [], [], []
+        for i, n, a, c in zip(*(col.to_pylist() for col in batch.columns)):
+            if (i, n, a, c) in seen:
+                continue
+            seen.add((i, n, a, c))
+            address = parse_address(a)
+            name, addr = name_form(parse_name(n)), "|".join(address) if address and address.house else None
+            if name is None and addr is None:
+                continue
+            form = (name, addr, c)
+            ids.append(i)
+            names.append(name)
+            addrs.append(addr)
+            countries.append(c)
+            fresh.append(form not in forms)
+            forms.add(form)
+        if len(seen) > SEEN_ROWS:
+            seen.clear()
+            forms.clear()
+        s = pa.string()
+        cols = [pa.array(ids, s), pa.array(names, s), pa.array(addrs, s), pa.array(countries, s), pa.array(fresh, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(cols, ["id", "name", "addr", "country", "fresh"])
+
+
+def _keys(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cls, kh) by address and (cls, kh, bare) by name, of each form; bare: it has no address."""
+    d = records.where("fresh")
+    a, n = F.split("addr", "\\|"), F.split("name", "\\|")
+    house, street, post, town = a[0], a[1], a[3], a[4]
+    core = words(n[1])
+    first = lambda c: F.substring_index(c, " ", 1)
+    by_address = F.array(
+        F.when(post != "", F.xxhash64(F.lit(1), house, post)),
+        F.when(F.size(core) > 0, F.xxhash64(F.lit(2), house, code(longest(core)))),
+        F.xxhash64(F.lit(3), house, code(first(street)), F.substring(code(first(town)), 1, 4)),
+    )
+    # a name without telling words has its initial in its only key
+    joined = F.when(n[3] != "", n[3]).otherwise(n[1])
+    by_name = F.when((n[1] == "") & (F.length(n[0]) < 2), F.array(F.xxhash64(F.lit("i"), n[0], n[2]))).otherwise(name_keys(n[0], n[1], n[2], joined))
+    near = d.where("addr is not null").select("cls", F.explode(by_address).alias("kh")).where("kh is not null")
+    named = d.where("name is not null").select("cls", F.col("addr").isNull().alias("bare"), F.explode(by_name).alias("kh"))
+    return near, named
+
+
+def _sieve(keys: DataFrame) -> DataFrame:
+    """(_word, _bits): which of 64 * SIEVE_ROWS hash values occur among the keys. At most SIEVE_ROWS rows whatever the data."""
+    at = F.pmod("kh", F.lit(64 * SIEVE_ROWS))
+    return keys.groupBy(F.shiftright(at, 6).alias("_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(kh, {64 * SIEVE_ROWS}) & 63 as int))")).alias("_bits"))
+
+
+def _sifted(keys: DataFrame, sieve: DataFrame) -> DataFrame:
+    """Keys that the sieve may hold. It only saves a shuffle: what it lets through in vain meets nothing in the join."""
+    at = F.pmod("kh", F.lit(64 * SIEVE_ROWS))
+    hit = keys.withColumn("_word", F.shiftright(at, 6)).join(F.broadcast(sieve), "_word")
+    return hit.where(F.expr(f"getbit(_bits, cast(pmod(kh, {64 * SIEVE_ROWS}) & 63 as int)) = 1")).drop("_word", "_bits")
+
+
 def loose(a: Name, b: Name) -> float:
     """Likeness of names at one building, where heavier damage is believed than elsewhere."""
     v = name_like(a, b)
@@ -108,7 +140,7 @@ def loose(a: Name, b: Name) -> float:
 
 
 def evidence(na: Name | None, nb: Name | None, aa: Address | None, ab: Address | None) -> float | None:
-    """Log odds that two records are one organisation at one building; None when they can't be."""
+    """What name and address add to the log odds that two records are one organisation at one building; None when they can't be."""
     n = None if na is None or nb is None else loose(na, nb)
     if n == 0.0:
         return None
@@ -126,112 +158,158 @@ def evidence(na: Name | None, nb: Name | None, aa: Address | None, ab: Address |
     return 5.0 * a + (2.0 if n >= 0.8 else 0.0)
 
 
+def label(name: Name | None, addr: Address | None, other_name: Name | None, other_addr: Address | None) -> int:
+    """The class of a record among the candidates of another one, as a hash: what the other lacks (an address, a name, a given name in
+    full) tells its candidates apart. Records of one class don't compete. 0: nothing tells it from any class."""
+    parts = []
+    if other_addr is None:
+        parts.append("b:" + (addr.house if addr else "?"))
+    if other_name is None:
+        parts.append("n:" + ("+".join(name.business) + "|" + (name.core[0][0] if name.core else name.given[:1]) if name else "?"))
+    elif len(other_name.given) == 1 and name and len(name.given) > 1:
+        parts.append("g:" + name.given)
+    return xxh3_64_intdigest(" ".join(parts)) >> 1 if parts else 0
+
+
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        c = [col.to_pylist() for col in batch.columns]
-        out = []
-        for ns, nt, xs, xt in zip(c[2], c[3], c[4], c[5]):
-            e = evidence(_name(ns), _name(nt), Address(*xs.split("|")) if xs else None, Address(*xt.split("|")) if xt else None)
-            out.append(e)
-        theta = pa.array(out, pa.float64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(6), batch.column(7), theta], ["s", "t", "cs", "ct", "theta"]).filter(theta.is_valid())
+        cols = [col.to_pylist() for col in batch.columns[2:]]
+        theta, ls, lt = [], [], []
+        for xn, xa, xc, yn, ya, yc in zip(*cols):
+            na, nb, aa, ab = name_of(xn), name_of(yn), Address(*xa.split("|")) if xa else None, Address(*ya.split("|")) if ya else None
+            e = evidence(na, nb, aa, ab)
+            theta.append(None if e is None else e + PRIOR + (ABROAD if xc is not None and yc is not None and xc != yc else 0.0))
+            ls.append(None if e is None else label(na, aa, nb, ab))
+            lt.append(None if e is None else label(nb, ab, na, aa))
+        score = pa.array(theta, pa.float64())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ls, pa.int64()), pa.array(lt, pa.int64()), score], ["s", "t", "ls", "lt", "theta"]).filter(score.is_valid())
+
+
+def _classes(records: DataFrame, side: str) -> DataFrame:
+    """The forms of a side, once each, by their hash. Copies of one form, however many, send one row per task."""
+    d = records.where("fresh").select("cls", "name", "addr", "country").repartition("cls").distinct()
+    return d.select(F.col("cls").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("name", "addr", "country")])
 
 
 def candidates(refs: DataFrame, targets: DataFrame) -> DataFrame:
-    """(s, t, cs, ct, theta): pairs that share a block and aren't excluded, once each, with their log odds and the classes that the
-    one-to-one factors tell apart."""
-    keys = lambda d, p: d.where("addr is not null").select(F.col("id").alias(p), F.explode(F.array("k1", "k2", "k3")).alias("kh")).where("kh is not null")
-    met = keys(refs, "s_id").join(keys(targets, "t_id"), "kh").select("s_id", "t_id")
-    # a record without an address meets by any part of its name; where many buildings have the name, their factor makes each unlikely
-    parts = lambda d, p: d.select(F.col("id").alias(p), F.explode("kb").alias("kh"))
-    rb, tb = (d.where("addr is null") for d in (refs, targets))
-    byname = parts(rb, "s_id").join(parts(targets, "t_id"), "kh").select("s_id", "t_id")
-    byname = byname.union(parts(refs.where("addr is not null"), "s_id").join(parts(tb, "t_id"), "kh").select("s_id", "t_id"))
-    # one exchange serves both: pairs once each, and the join with the targets
-    pairs = met.union(byname).repartition("t_id").distinct()
-    r, t = (d.select(*[F.col(c).alias(p + c) for c in ("id", "name", "addr", "bld", "org")]) for d, p in ((refs, "s_"), (targets, "t_")))
-    full = pairs.join(t, "t_id").join(r, "s_id").select("s_id", "t_id", "s_name", "t_name", "s_addr", "t_addr", _rivals("t_", "s_"), _rivals("s_", "t_"))
-    return full.mapInArrow(_score, "s string, t string, cs string, ct string, theta double")
-
-
-def _rivals(other: str, me: str):
-    """The class of record `me` among the candidates of `other`: what `other` lacks tells its candidates apart."""
-    lacks_name, lacks_address = F.col(other + "name").isNull(), F.col(other + "addr").isNull()
-    by_name, by_building = F.concat(F.lit("n:"), F.col(me + "org")), F.concat(F.lit("b:"), F.col(me + "bld"))
-    return F.coalesce(F.when(lacks_name, by_name).when(lacks_address, by_building), F.lit(OWN)).alias("c" + me[0])
+    """(s, t, ls, lt, theta): pairs of forms that share a block and aren't excluded, once each, with the class of each in the one-to-one
+    factor of the other and the log odds of their evidence."""
+    yes, no = F.lit(True).alias("open"), F.lit(False).alias("open")
+    sides = [[*_keys(d)] for d in (refs, targets)]
+    # a form without an address meets by name; of the others only those keys move that such a form of the other side may have
+    sieves = [_sieve(named.where("bare")) for _, named in sides]
+
+    def keys(near: DataFrame, named: DataFrame, sieve: DataFrame, side: str, open_: str) -> DataFrame:
+        full = _sifted(named.where("not bare"), sieve).select("cls", "kh", no)
+        out = near.select("cls", "kh", yes).unionByName(named.where("bare").select("cls", "kh", yes)).unionByName(full)
+        return out.withColumnsRenamed({"cls": side, "open": open_})
+
+    names = (("s", "_a"), ("t", "_b"))
+    left, right = (keys(*sides[i], sieves[1 - i], *names[i]) for i in (0, 1))
+    look = [keys(*_keys(sampled(d)), sieves[1 - i], *names[i]) for i, d in enumerate((refs, targets))]
+    met = join_split(left, right, "kh", look=look).where("_a or _b").select("s", "t")
+    pairs = materialize(met.repartition("t").distinct(), "met")
+    some = sampled(pairs)
+    both = join_split(pairs, _classes(targets, "t"), "t", unique=True, look=[some])
+    both = join_split(both, _classes(refs, "s"), "s", unique=True, look=[some])
+    both = both.select("s", "t", "s_name", "s_addr", "s_country", "t_name", "t_addr", "t_country")
+    return both.mapInArrow(_score, "s bigint, t bigint, ls bigint, lt bigint, theta double")
 
 
 def propagate(pairs: DataFrame) -> DataFrame:
-    """(s, t, p): marginal match probabilities of candidate pairs by loopy belief propagation.
-
-    A pair is a binary variable with log odds theta. A one-to-one factor at every record lets it belong to one class of the other side:
-    one organisation, for a record without a name, or one building, for one without an address. Records of one class don't compete, nor do
-    those that name and place tell to be the match, so that all writings of a match are kept. Messages are exchanged
-    through aggregations and joins by record: a factor tells a pair log(1 + sum of the other classes' best odds), damped, until no
-    belief moves by more than SETTLED. Pairs without competition are settled at once and leave the loop; a loop that doesn't settle in
-    ROUNDS rounds keeps its last beliefs."""
+    """(s, t, theta, p, rounds): marginal match probabilities of candidate pairs by loopy belief propagation, and the number of message
+    rounds until the pair was settled.
+
+    A pair is a binary variable with log odds theta. A one-to-one factor at each of its two records lets the record match one class of
+    the other side, or none (with odds ALONE): it tells a pair -log(ALONE + sum of the best odds of the other classes), each without what
+    the factor itself said. Pairs of one class don't compete, so all writings of a match are kept; class 0 competes with none. A pair
+    that no other class rivals is raised by both its factors, one with strong rivals is lowered, so theta alone decides no pair.
+
+    All pairs exchange messages in the first round. Those whose factors hear no other class get the same message in every round and are
+    settled by it; the others go on, through aggregations and joins by record, until no message moves by more than SETTLED. Steps are
+    damped, and shrink by half every five rounds after FREE_ROUNDS, so the loop ends on every graph (messages are bounded)."""
     spark = pairs.sparkSession
     shared_dir(spark)
-    best = pairs.groupBy("s", "t").agg(F.max("theta").alias("theta"), F.first("cs").alias("cs"), F.first("ct").alias("ct"))
-    best = materialize(best, "pairs")
-    # strong pairs name a record's match outright: their targets are one class, called by the least reference that has them
-    strong = best.where(f"theta >= {STRONG}").select("s", "t")
-    of_t = strong.groupBy("t").agg(F.min("s").alias("_lt"))
-    of_s = strong.join(of_t, "t").groupBy("s").agg(F.min("_lt").alias("_ls"))
-    named = best.join(of_t, "t", "left").join(of_s, "s", "left")
-    # by name, a class is called by the least reference whose match names it outright
-    known = lambda c, label: F.when(F.col(c).startswith("n:"), F.coalesce(F.col(label), F.col(c))).otherwise(F.col(c)).alias(c)
-    named = named.select("s", "t", "theta", known("cs", "_ls"), known("ct", "_lt"))
-    named = materialize(named, "classes")
-    ns = named.groupBy("s").agg(F.min("ct").alias("_a"), F.max("ct").alias("_b")).where("_a <> _b").select("s", F.lit(True).alias("many_t"))
-    nt = named.groupBy("t").agg(F.min("cs").alias("_a"), F.max("cs").alias("_b")).where("_a <> _b").select("t", F.lit(True).alias("many_s"))
-    marked = named.join(ns, "s", "left").join(nt, "t", "left").withColumn("busy", F.coalesce("many_t", "many_s").isNotNull())
-    marked = materialize(marked.select("s", "t", "cs", "ct", "theta", "busy"), "marked")
-    calm = marked.where(~F.col("busy")).select("s", "t", F.expr("1 / (1 + exp(-theta))").alias("p"))
-    loop = marked.where("busy").select("s", "t", "cs", "ct", "theta", F.lit(0.0).alias("ms"), F.lit(0.0).alias("mt"))
-    loop = loop.checkpoint()
-    for _ in range(ROUNDS):
-
-        def factor(me: str, other: str, message: str, back: str):
-            odds = loop.select(me, other, F.expr(f"least(theta + {back}, 30)").alias("b"))
-            per = odds.groupBy(me, other).agg(F.exp(F.max("b")).alias("o"))
-            total = per.groupBy(me).agg(F.sum("o").alias("total"))
-            return per.join(total, me).select(me, other, F.expr(f"-{WEIGHT} * ln(1 + greatest(total - o, 0))").alias(message))
-
-        # the factor at s hears each pair's odds without its own message: theta and what the factor at t said
-        a = factor("s", "ct", "ns", "mt")
-        b = factor("t", "cs", "nt", "ms")
-        new = loop.join(a, ["s", "ct"]).join(b, ["t", "cs"])
+    best = materialize(pairs.groupBy("s", "t").agg(F.max(F.struct("theta", "ls", "lt")).alias("b")).select("s", "t", "b.theta", "b.ls", "b.lt"), "pairs")
+
+    def rivals(me: str, other: str) -> DataFrame:
+        c = F.nullif(F.col(other), F.lit(0))
+        return best.groupBy(me).agg(F.min(c).alias("_x"), F.max(c).alias("_y")).where("_x <> _y").select(me, F.lit(True).alias("_many_" + me))
+
+    alone = -math.log(ALONE)
+    marked = best.join(rivals("s", "lt"), "s", "left").join(rivals("t", "ls"), "t", "left").withColumn("_busy", F.coalesce("_many_s", "_many_t").isNotNull())
+    marked = materialize(marked.select("s", "t", "theta", "ls", "lt", "_busy"), "marked")
+    sigmoid = lambda x: 1 / (1 + F.exp(-x))
+    calm = marked.where("not _busy").select("s", "t", "theta", sigmoid(F.col("theta") + 2 * alone).alias("p"), F.lit(1).alias("rounds"))
+    loop = marked.where("_busy").select("s", "t", "theta", "ls", "lt", F.lit(0.0).alias("ms"), F.lit(0.0).alias("mt")).checkpoint()
+    rounds, moved = 0, None
+    while loop is not None:
+        rounds += 1
+        step = (1 - DAMP) * 0.5 ** (max(0, rounds - FREE_ROUNDS) / 5)
+
+        def heard(me: str, other: str, own: str, back: str) -> DataFrame:
+            """Per record and class of the other side, the message of the record's factor."""
+            per = loop.where(F.col(other) != 0).groupBy(me, other).agg(F.exp(F.max(F.least(F.col("theta") + F.col(back), F.lit(30.0)))).alias("_o"))
+            total = per.groupBy(me).agg(F.sum("_o").alias("_total"))
+            per = per.join(total, me).select(me, other, F.greatest(F.col("_total") - F.col("_o"), F.lit(0.0)).alias("_rest"))
+            return per.select(me, other, (-F.log(F.lit(ALONE) + F.col("_rest"))).alias(own))
+
+        new = loop.join(heard("s", "lt", "ns", "mt"), ["s", "lt"], "left").join(heard("t", "ls", "nt", "ms"), ["t", "ls"], "left")
+        ns, nt = F.coalesce("ns", F.lit(alone)), F.coalesce("nt", F.lit(alone))
+        moves = [F.lit(step) * (ns - F.col("ms")), F.lit(step) * (nt - F.col("mt"))]
         new = new.select(
-            "s", "t", "cs", "ct", "theta", F.expr(f"ms + (ns - ms) * {1 - DAMP}").alias("ms"), F.expr(f"mt + (nt - mt) * {1 - DAMP}").alias("mt"),
-            F.greatest(F.abs(F.expr("ns - ms")), F.abs(F.expr("nt - mt"))).alias("moved"),
-        ).checkpoint()
+            "s", "t", "theta", "ls", "lt", (F.col("ms") + moves[0]).alias("ms"), (F.col("mt") + moves[1]).alias("mt"), F.greatest(*map(F.abs, moves)).alias("moved")
+        ).checkpoint()
         moved = new.agg(F.max("moved")).head()[0]
         loop = new.drop("moved")
-        if moved is None or moved <= SETTLED:
+        if moved is None or moved <= SETTLED * step:
             break
-    settled = loop.select("s", "t", F.expr("1 / (1 + exp(-(theta + ms + mt)))").alias("p"))
+    settled = loop.select("s", "t", "theta", sigmoid(F.col("theta") + F.col("ms") + F.col("mt")).alias("p"), F.lit(rounds).alias("rounds"))
     return calm.unionByName(settled)
 
 
-def match(ref: DataFrame, targets: list[DataFrame], ident: str = "entity_id", name: str = "business_name", address: str = "business_address") -> DataFrame:
-    """(source1_entity_id, target_entity_id, confidence): candidate pairs of records that may be one organisation at one building.
-
-    Name and address may each be missing (null, blank, NA, N/A, null, None) on either side, not both on one. Null ids and repeated rows
-    don't count; other columns are ignored. An empty side: no rows. Every pair that shares a block is judged; no block is cut.
-
-    Blocks by address: house number with postcode, with the longest telling word's phonetic code, with the codes of street and town. A
-    record without an address meets those that share a phonetic key of the name: all telling words, all but one, halves of a lone one, or
-    all written as one (`names.block_keys`), however many buildings have the name; buildings are told apart by house number. Pairs become variables of
-    `propagate`, which turns log odds into marginal probabilities under one-to-one factors between classes of records."""
-
-    def read(df: DataFrame, side: int) -> DataFrame:
-        d = df.select(F.col(ident).alias("id"), F.col(name).alias("n"), F.col(address).alias("a")).where("id is not null")
-        return d.mapInArrow(_parse(side), REC)
+def _judged(ref: DataFrame, targets: list[DataFrame], ident: str, name: str, address: str, country: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def read(df: DataFrame, label: str) -> DataFrame:
+        d = df.select(F.col(ident).alias("id"), F.col(name).alias("n"), F.col(address).alias("a"), country_of(F.col(country)).alias("c")).where("id is not null")
+        d = d.mapInArrow(_parse, REC)
+        return materialize(d.withColumn("cls", F.xxhash64(*[F.coalesce(c, F.lit("\u0001")) for c in ("name", "addr", "country")])), label)
 
-    refs = materialize(read(ref, 0), "refs")
-    t = targets[0].select(ident, name, address)
+    t = targets[0].select(ident, name, address, country)
     for more in targets[1:]:
-        t = t.unionByName(more.select(ident, name, address))
-    tgts = materialize(read(t, 1), "targets")
-    return propagate(candidates(refs, tgts)).select(F.col("s").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), F.round("p", 6).alias("confidence"))
+        t = t.unionByName(more.select(ident, name, address, country))
+    refs, tgts = read(ref, "refs"), read(t, "targets")
+    return propagate(candidates(refs, tgts)), refs, tgts
+
+
+def match(
+    ref: DataFrame, targets: list[DataFrame], least: float = 0.0, ident: str = "entity_id", name: str = "business_name", address: str = "business_address", country: str = "country"
+) -> DataFrame:
+    """(source1_entity_id, target_entity_id, confidence): candidate pairs of records that may be one organisation at one building, with the
+    marginal probability of a match, from `least` on.
+
+    Name and address may each be missing (null, blank, NA, N/A, null, None) on either side, not both on one; a missing country says
+    nothing, different ones all but exclude a match. Null ids and repeated rows don't count; an id with several contents is matched by the
+    best of them; other columns are ignored. An empty side: no rows. Every pair that shares a block is judged; no block is cut.
+
+    Rows are parsed once; records of equal forms are one node from then on, told by a 64-bit hash of the forms, and are attached again at
+    the end. Blocks by address: house number with postcode, with the longest telling word's phonetic code, with the codes of street and
+    town. A record without an address meets those that share a phonetic key of the name (`phonetic.name_keys`), however many buildings
+    have the name. Pairs become variables of `propagate`, whose marginals are reported. Hot blocks, nodes and forms are split."""
+    judged, refs, tgts = _judged(ref, targets, ident, name, address, country)
+    kept = materialize(judged.where(F.col("p") >= least).select("s", "t", "p"), "judged")
+    ids = lambda d, side, as_: d.select(F.col("cls").alias(side), F.col("id").alias(as_))
+    of_t, of_s = ids(tgts, "t", "target_entity_id"), ids(refs, "s", "source1_entity_id")
+    some = sampled(kept)
+    out = join_split(join_split(kept, of_t, "t", look=[some, sampled(of_t)]), of_s, "s", look=[some, sampled(of_s)])
+    return out.groupBy("source1_entity_id", "target_entity_id").agg(F.round(F.max("p"), 6).alias("confidence"))
+
+
+def settling(ref: DataFrame, targets: list[DataFrame]) -> DataFrame:
+    """(rounds, n_pairs, n_accepted, n_by_evidence, n_raised, n_lowered): how many pairs of forms settled after so many message rounds, how
+    many of them are accepted, how many evidence alone would accept, and how many the messages raised or lowered across ACCEPT."""
+    judged, _, _ = _judged(ref, targets, "entity_id", "business_name", "business_address", "country")
+    c = lambda x: F.sum(F.when(x, 1).otherwise(0))
+    yes, before = F.col("p") >= ACCEPT, F.col("theta") >= math.log(ACCEPT / (1 - ACCEPT))
+    return judged.groupBy(F.col("rounds").cast("long").alias("rounds")).agg(
+        F.count(F.lit(1)).alias("n_pairs"), c(yes).alias("n_accepted"), c(before).alias("n_by_evidence"), c(yes & ~before).alias("n_raised"), c(before & ~yes).alias("n_lowered")
+    )

@@ -49,12 +49,20 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return same_address.address_groups(table(spark, d, "test_source1")).select(F.col("id").alias("entity_id"), "group_id").distinct()
 
 
+def _sources(spark: SparkSession, d: str) -> tuple[DataFrame, list[DataFrame]]:
+    return table(spark, d, "test_source1"), [table(spark, d, "test_source2"), table(spark, d, "test_source3")]
+
+
 def p6_confidence(spark: SparkSession, d: str) -> DataFrame:
-    return link.match(table(spark, d, "test_source1"), [table(spark, d, "test_source2"), table(spark, d, "test_source3")])
+    return link.match(*_sources(spark, d), least=link.ACCEPT)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return p6_confidence(spark, d).where(F.col("confidence") >= link.ACCEPT).select("source1_entity_id", "target_entity_id")
+    return p6_confidence(spark, d).select("source1_entity_id", "target_entity_id")
+
+
+def p6_rounds(spark: SparkSession, d: str) -> DataFrame:
+    return link.settling(*_sources(spark, d))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -91,7 +99,7 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fs = [
-        p2_found, p2_groups, p3_found, p3_terms, p4_found, p4_group_sizes, p5_found, p5_groups, p6_found, p6_confidence, p8_ids,
+        p2_found, p2_groups, p3_found, p3_terms, p4_found, p4_group_sizes, p5_found, p5_groups, p6_found, p6_confidence, p6_rounds, p8_ids,
         p8_round_trip, p9_assignments, p9_unused, p10_found, p10_languages, p10_segments,
     ]
     return {f.__name__: f for f in fs}
