@@ -13,7 +13,7 @@ from ..operators.skew import join_split, sampled
 from ..sources.scratch import materialize, shared_dir
 from .addresses import Address, address_like, parse_address
 from .names import Name, given_like, jaro_winkler, name_like, parse_name
-from .phonetic import code, longest, name_keys, words
+from .phonetic import longest, name_keys, words
 
 #: Marginal probability from which a pair is reported.
 ACCEPT = 0.5
@@ -86,7 +86,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keys(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cls, kh) by address and (cls, kh, bare) by name, of each form; bare: it has no address."""
+    """(cls, kh) by address and (cls, name, country, house, kh) by name, of each form; house is null where it has no address."""
     d = records.where("fresh")
     a, n = F.split("addr", "\\|"), F.split("name", "\\|")
     house, street, post, town = a[0], a[1], a[3], a[4]
@@ -94,14 +94,14 @@ def _keys(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = lambda c: F.substring_index(c, " ", 1)
     by_address = F.array(
         F.when(post != "", F.xxhash64(F.lit(1), house, post)),
-        F.when(F.size(core) > 0, F.xxhash64(F.lit(2), house, code(longest(core)))),
-        F.xxhash64(F.lit(3), house, code(first(street)), F.substring(code(first(town)), 1, 4)),
+        F.when(F.size(core) > 0, F.xxhash64(F.lit(2), house, F.soundex(longest(core)))),
+        F.xxhash64(F.lit(3), house, F.soundex(first(street)), F.soundex(first(town))),
     )
     # a name without telling words has its initial in its only key
     joined = F.when(n[3] != "", n[3]).otherwise(n[1])
     by_name = F.when((n[1] == "") & (F.length(n[0]) < 2), F.array(F.xxhash64(F.lit("i"), n[0], n[2]))).otherwise(name_keys(n[0], n[1], n[2], joined))
     near = d.where("addr is not null").select("cls", F.explode(by_address).alias("kh")).where("kh is not null")
-    named = d.where("name is not null").select("cls", F.col("addr").isNull().alias("bare"), F.explode(by_name).alias("kh"))
+    named = d.where("name is not null").select("cls", "name", "country", house.alias("house"), F.explode(by_name).alias("kh"))
     return near, named
 
 
@@ -118,6 +118,19 @@ def _sifted(keys: DataFrame, sieve: DataFrame) -> DataFrame:
     return hit.where(F.expr(f"getbit(_bits, cast(pmod(kh, {64 * SIEVE_ROWS}) & 63 as int)) = 1")).drop("_word", "_bits")
 
 
+def _told(keys: DataFrame) -> DataFrame:
+    """(cls, kh) of forms with an address for the forms without one that share kh: all forms of a name and country that is at one house
+    number, and two at different ones of any that is at several.
+
+    To the factor of a form without an address, two records of one name at different house numbers are rivals of equal odds, of which none
+    can reach ACCEPT, nor can any third; so two tell it as much as all would, and a name of a million buildings costs two pairs."""
+    keys = keys.withColumn("_g", F.xxhash64("kh", "name", F.coalesce("country", F.lit(""))))
+    per = keys.groupBy("_g", "kh").agg(F.min(F.struct("house", "cls")).alias("x"), F.max(F.struct("house", "cls")).alias("y"))
+    several = per.where("x.house <> y.house").select("kh", F.explode(F.array("x.cls", "y.cls")).alias("cls"))
+    one = per.where("x.house = y.house").select("_g", F.lit(True).alias("_one"))
+    return join_split(keys.select("_g", "kh", "cls"), one, "_g", unique=True).select("cls", "kh").unionByName(several.select("cls", "kh"))
+
+
 def loose(a: Name, b: Name) -> float:
     """Likeness of names at one building, where heavier damage is believed than elsewhere."""
     v = name_like(a, b)
@@ -197,16 +210,11 @@ def candidates(refs: DataFrame, targets: DataFrame) -> DataFrame:
     yes, no = F.lit(True).alias("open"), F.lit(False).alias("open")
     sides = [[*_keys(d)] for d in (refs, targets)]
     # a form without an address meets by name; of the others only those keys move that such a form of the other side may have
-    sieves = [_sieve(named.where("bare")) for _, named in sides]
-
-    def keys(near: DataFrame, named: DataFrame, sieve: DataFrame, side: str, open_: str) -> DataFrame:
-        full = _sifted(named.where("not bare"), sieve).select("cls", "kh", no)
-        out = near.select("cls", "kh", yes).unionByName(named.where("bare").select("cls", "kh", yes)).unionByName(full)
-        return out.withColumnsRenamed({"cls": side, "open": open_})
-
-    names = (("s", "_a"), ("t", "_b"))
-    left, right = (keys(*sides[i], sieves[1 - i], *names[i]) for i in (0, 1))
-    look = [keys(*_keys(sampled(d)), sieves[1 - i], *names[i]) for i, d in enumerate((refs, targets))]
+    bare = [named.where("house is null") for _, named in sides]
+    full = [_told(materialize(_sifted(sides[i][1].where("house is not null"), _sieve(bare[1 - i])), "named")) for i in (0, 1)]
+    near = [d.unionByName(k.select("cls", "kh")).select("cls", "kh", yes).unionByName(f.select("cls", "kh", no)) for (d, _), k, f in zip(sides, bare, full)]
+    left, right = near[0].withColumnsRenamed({"cls": "s", "open": "_a"}), near[1].withColumnsRenamed({"cls": "t", "open": "_b"})
+    look = [_keys(sampled(d))[0].select("kh") for d in (refs, targets)]
     met = join_split(left, right, "kh", look=look).where("_a or _b").select("s", "t")
     pairs = materialize(met.repartition("t").distinct(), "met")
     some = sampled(pairs)
@@ -217,7 +225,7 @@ def candidates(refs: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def propagate(pairs: DataFrame) -> DataFrame:
-    """(s, t, theta, p, rounds): marginal match probabilities of candidate pairs by loopy belief propagation, and the number of message
+    """(s, t, theta, p, rounds): marginal match probabilities of candidate pairs (s, t, ls, lt, theta), given once each, by loopy belief propagation, and the number of message
     rounds until the pair was settled.
 
     A pair is a binary variable with log odds theta. A one-to-one factor at each of its two records lets the record match one class of
@@ -230,7 +238,7 @@ def propagate(pairs: DataFrame) -> DataFrame:
     damped, and shrink by half every five rounds after FREE_ROUNDS, so the loop ends on every graph (messages are bounded)."""
     spark = pairs.sparkSession
     shared_dir(spark)
-    best = materialize(pairs.groupBy("s", "t").agg(F.max(F.struct("theta", "ls", "lt")).alias("b")).select("s", "t", "b.theta", "b.ls", "b.lt"), "pairs")
+    best = materialize(pairs.select("s", "t", "theta", "ls", "lt"), "pairs")
 
     def rivals(me: str, other: str) -> DataFrame:
         c = F.nullif(F.col(other), F.lit(0))
@@ -293,8 +301,9 @@ def match(
 
     Rows are parsed once; records of equal forms are one node from then on, told by a 64-bit hash of the forms, and are attached again at
     the end. Blocks by address: house number with postcode, with the longest telling word's phonetic code, with the codes of street and
-    town. A record without an address meets those that share a phonetic key of the name (`phonetic.name_keys`), however many buildings
-    have the name. Pairs become variables of `propagate`, whose marginals are reported. Hot blocks, nodes and forms are split."""
+    town. A record without an address meets those that share a phonetic key of the name (`phonetic.name_keys`); where one name is at several
+    house numbers, two of its forms stand for all in that (`_told`), which changes no decision at ACCEPT. Pairs become variables of
+    `propagate`, whose marginals are reported. Hot blocks, nodes and forms are split."""
     judged, refs, tgts = _judged(ref, targets, ident, name, address, country)
     kept = materialize(judged.where(F.col("p") >= least).select("s", "t", "p"), "judged")
     ids = lambda d, side, as_: d.select(F.col("cls").alias(side), F.col("id").alias(as_))

@@ -4,14 +4,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Classes of consonants; vowels separate, h and w are silent.
-LETTERS, CLASSES = "bfpvcgjkqsxzdtlmnraeiouyhw", "111122222222334556000000"
-
-
 def code(word: Column) -> Column:
-    """First letter, then classes of the consonants; neighbours of one class count once, vowels carry nothing."""
-    rest = F.regexp_replace(F.translate(F.substring(word, 2, 1_000_000), LETTERS, CLASSES), r"(.)\1+", "$1")
-    return F.concat(F.substring(word, 1, 1), F.replace(rest, F.lit("0"), F.lit("")))
+    """Soundex of a word from its front and from its back: of up to eight consonants each tells."""
+    return F.concat(F.soundex(word), F.soundex(F.reverse(word)))
 
 
 def words(text: Column) -> Column:
@@ -23,33 +18,35 @@ def longest(ws: Column) -> Column:
 
 
 def name_keys(given: Column, core: Column, business: Column, joined: Column) -> Column:
-    """Array of block keys (bigint, once each) of a name: its line of business with the phonetic codes of its telling words, all of them
-    and all but one, and, for a name of one or two words, the code of the words written as one, whole and without one consonant.
+    """Array of block keys (bigint, once each) of a name: its line of business with the phonetic codes of its telling words, all of them,
+    and all but one with the first letter of that one; for a name of one or two words also with the code of the words written as one, and
+    with its first and its last half in letters.
 
     A set of codes is keyed by the exclusive or of their hashes, so the order of words doesn't matter and leaving one out takes one step,
     however long the name. Names of one organisation that differ by a damaged word, by two words written as one, by order, by a nickname
-    or by an abbreviation share a key. A name of a given name alone is keyed by it, one of a line of business alone by that."""
+    or by an abbreviation share a key. Halves are taken long and short, so lengths that differ by one letter share one. A name of a given
+    name alone is keyed by it, one of a line of business alone by that."""
     no_keys = F.array().cast("array<bigint>")
     key = lambda k, h: F.xxhash64(business, k, h)
 
     def of_words(each: Column, whole: Column) -> Column:
         n = F.size(each)
-        without = F.when(n > 1, F.transform(each, lambda h: key(n - 1, whole.bitwiseXOR(h)))).otherwise(no_keys)
+        without = F.when(n > 1, F.transform(each, lambda w: F.xxhash64(business, n, whole.bitwiseXOR(w["h"]), w["first"]))).otherwise(no_keys)
         alone = F.when(business != "", F.array(key(F.lit(0), F.lit(0).cast("long")))).otherwise(no_keys)
         return F.when(n > 0, F.concat(F.array(key(n, whole)), without)).otherwise(alone)
 
-    def of_joined(c: Column) -> Column:
-        size = F.length(c)
-        drop = F.transform(F.sequence(F.lit(1), size), lambda i: F.xxhash64(business, F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, size))))
-        return F.concat(F.array(F.xxhash64(business, c)), drop)
+    def halves(j: Column) -> Column:
+        short, long = F.floor(F.length(j) / 2).cast("int"), F.ceil(F.length(j) / 2).cast("int")
+        part = lambda tag, n: F.xxhash64(business, F.lit(tag), F.substring(j, F.lit(1), n) if tag == "<" else F.substring(j, -n, n))
+        return F.array(F.xxhash64(business, F.lit("="), code(j)), part("<", short), part("<", long), part(">", short), part(">", long))
 
     told = let(words(core), lambda t: F.when(F.size(t) > 0, t).when(F.length(given) > 1, F.array(given)).otherwise(F.array().cast("array<string>")))
     by_words = let(
-        F.transform(told, lambda w: F.xxhash64(code(w))),
-        lambda each: let(F.aggregate(each, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(h)), lambda whole: of_words(each, whole)),
+        F.transform(told, lambda w: F.struct(F.xxhash64(code(w)).alias("h"), F.substring(w, 1, 1).alias("first"))),
+        lambda each: let(F.aggregate(each, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(w["h"])), lambda whole: of_words(each, whole)),
     )
     few = (F.length(joined) >= 6) & (F.length(core) - F.length(F.replace(core, F.lit(" "), F.lit(""))) <= 1)
-    return F.array_distinct(F.concat(by_words, F.when(few, let(code(joined), of_joined)).otherwise(no_keys)))
+    return F.array_distinct(F.concat(by_words, F.when(few, let(joined, halves)).otherwise(no_keys)))
 
 
 def let(value: Column, body) -> Column:
