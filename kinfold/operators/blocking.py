@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .skew import join_split
+from ..sources.scratch import materialize
 from . import frequency
 from .entities import tokens, union_tokens
 
@@ -25,11 +27,11 @@ class BlockingConfig:
 
 
 def exact_block(s1: DataFrame, tg: DataFrame, field: str) -> DataFrame:
-    """(s, t): equal non-empty normal form in the same country. A null country matches nothing."""
+    """(s, t): equal non-empty normal form in the same country. A null country matches nothing. A name or address that holds a third of
+    the rows is spread over tasks."""
     col = f"{field}_norm"
-    left = s1.where(F.col(col) != "").select(F.col("entity_id").alias("s"), col, "country")
-    right = tg.where(F.col(col) != "").select(F.col("entity_id").alias("t"), col, "country")
-    return left.join(right, ["country", col]).select("s", "t")
+    side = lambda d, x: d.where((F.col(col) != "") & F.col("country").isNotNull()).select(F.col("entity_id").alias(x), F.concat_ws("\u0001", "country", col).alias("_key"))
+    return join_split(side(s1, "s"), side(tg, "t"), "_key").select("s", "t")
 
 
 def rarest_tokens(s1: DataFrame, df: DataFrame, k_name: int, k_address: int, cutoff: int, kind=X.tokens_min1) -> DataFrame:
@@ -60,11 +62,14 @@ def raw_candidates(s1: DataFrame, tg: DataFrame, cfg: BlockingConfig) -> DataFra
     return parts.groupBy("s", "t").agg(F.max("protected").alias("protected"))
 
 
-def lexical_score(pairs: DataFrame, s1: DataFrame, tg: DataFrame, bonus: float) -> DataFrame:
+def lexical_score(pairs: DataFrame, s1: DataFrame, tg: DataFrame, bonus: float, more: dict | None = None) -> DataFrame:
     """Adds score: exact bonuses, 100 and 150 per shared name and address token, and 10000/df of each shared token, all tokens counting.
 
     A reference's tokens get their weights once, by a join before pairs are looked at; a pair then sums the weights of the tokens it
-    shares inside one expression, without another shuffle by token."""
+    shares inside one expression, without another shuffle by token. `more` names further columns over the attached records (sn, sa, sc,
+    tn, ta, tc), so that both records are attached once."""
+    from .scoring import attach
+
     df = frequency.df_field(tg)
     weights = tokens(s1, X.tokens_min1).join(df, ["field", "token"]).select(
         F.col("entity_id").alias("s"), "field", "token", (F.lit(10_000.0) / F.col("df")).alias("w")
@@ -73,9 +78,7 @@ def lexical_score(pairs: DataFrame, s1: DataFrame, tg: DataFrame, bonus: float)
         F.collect_set(F.when(F.col("field") == "name", F.struct("token", "w"))).alias("wn"),
         F.collect_set(F.when(F.col("field") == "address", F.struct("token", "w"))).alias("wa"),
     )
-    left = s1.select(F.col("entity_id").alias("s"), F.col("name_norm").alias("sn"), F.col("address_norm").alias("sa")).dropDuplicates(["s"])
-    right = tg.select(F.col("entity_id").alias("t"), F.col("name_norm").alias("tn"), F.col("address_norm").alias("ta")).dropDuplicates(["t"])
-    both = pairs.join(left.join(per, "s", "left"), "s").join(right, "t")
+    both = attach(pairs, s1, tg).join(per, "s", "left")
 
     def part(weighted: str, other: str, each: float):
         toks = X.tokens_min1(F.col(other))
@@ -84,22 +87,24 @@ def lexical_score(pairs: DataFrame, s1: DataFrame, tg: DataFrame, bonus: float)
 
     exact = lambda a, b: F.when((F.col(a) == F.col(b)) & (F.col(a) != ""), F.lit(bonus)).otherwise(F.lit(0.0))
     score = exact("sn", "tn") + exact("sa", "ta") + part("wn", "tn", 100.0) + part("wa", "ta", 150.0)
-    return both.select(*pairs.columns, F.round(score, 4).alias("score"))
+    return both.select(*pairs.columns, F.round(score, 4).alias("score"), *[c.alias(n) for n, c in (more or {}).items()])
 
 
 def protected_cap(scored: DataFrame, cap: int) -> DataFrame:
-    """Keeps all protected pairs and fills up to cap per reference with the best others; ties by target id."""
-    everyone = Window.partitionBy("s")
-    order = Window.partitionBy("s", "protected").orderBy(F.desc("score"), "t")
-    return (
-        scored.withColumn("_np", F.sum("protected").over(everyone)).withColumn("_rn", F.row_number().over(order))
-        .where((F.col("protected") == 1) | (F.col("_rn") <= F.greatest(F.lit(0), F.lit(cap) - F.col("_np")))).drop("_np", "_rn")
-    )
+    """Keeps all protected pairs and fills up to cap per reference with the best others; ties by target id.
+
+    Protected pairs, of which a reference with a hot name has any number, are only counted; the rank runs over the others, and no task
+    forwards more than cap of them per reference."""
+    n = scored.where("protected = 1").groupBy("s").agg(F.count(F.lit(1)).alias("_np"))
+    best = Window.partitionBy("s").orderBy(F.desc("score"), "t")
+    rest = scored.where("protected = 0").withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= cap).join(n, "s", "left")
+    rest = rest.where(F.col("_rn") <= F.lit(cap) - F.coalesce("_np", F.lit(0))).select(*scored.columns)
+    return scored.where("protected = 1").unionByName(rest)
 
 
-def candidates(s1: DataFrame, tg: DataFrame, cfg: BlockingConfig) -> DataFrame:
+def candidates(s1: DataFrame, tg: DataFrame, cfg: BlockingConfig, more: dict | None = None) -> DataFrame:
     """(s, t, protected, score): blocks, score and cap of production; without exact blocks the cap is a plain top list."""
-    return protected_cap(lexical_score(raw_candidates(s1, tg, cfg), s1, tg, cfg.exact_bonus), cfg.cap)
+    return protected_cap(materialize(lexical_score(raw_candidates(s1, tg, cfg), s1, tg, cfg.exact_bonus, more), "scored"), cfg.cap)
 
 
 def baseline_block(s1: DataFrame, tg: DataFrame, kind=X.tokens_stop55) -> DataFrame:

@@ -1,7 +1,7 @@
 """How well blocking strategies keep true pairs, and how many candidates they make."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -11,13 +11,23 @@ from .scoring import attach
 QUANTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
 
-def true_pairs(truth: DataFrame, s1: DataFrame, tg: DataFrame) -> DataFrame:
-    """True pairs with both records; pairs that name an unknown id are dropped."""
-    return attach(truth.select(F.col("source1_entity_id").alias("s"), F.col("target_entity_id").alias("t")), s1, tg)
+def true_pairs(truth: DataFrame, s1: DataFrame, tg: DataFrame, how: str = "inner") -> DataFrame:
+    """True pairs with both records. how='left' keeps pairs that name an unknown id, which are misses of any block; 'inner' leaves them
+    to `dangling`."""
+    return attach(truth.select(F.col("source1_entity_id").alias("s"), F.col("target_entity_id").alias("t")), s1, tg, how)
 
 
-def distribution(df: DataFrame, column: str) -> list[Column]:
-    qs = [F.round(F.percentile(column, F.lit(q)), 4).alias(n) for n, q in QUANTILES.items()]
+def dangling(truth: DataFrame, s1: DataFrame, tg: DataFrame) -> DataFrame:
+    """(source1_entity_id, target_entity_id, missing): true pairs of which a record is in no source; missing is reference, target or both."""
+    known = lambda d, c: d.select(F.col("entity_id").alias(c), F.lit(True).alias("_" + c)).distinct()
+    j = truth.join(known(s1, "source1_entity_id"), "source1_entity_id", "left").join(known(tg, "target_entity_id"), "target_entity_id", "left")
+    no_s, no_t = F.col("_source1_entity_id").isNull(), F.col("_target_entity_id").isNull()
+    missing = F.when(no_s & no_t, "both").when(no_s, "reference").when(no_t, "target")
+    return j.where(missing.isNotNull()).select("source1_entity_id", "target_entity_id", missing.alias("missing"))
+
+
+def distribution(df: DataFrame, column: str, more: dict[str, float] | None = None) -> list[Column]:
+    qs = [F.round(F.percentile(column, F.lit(q)), 4).alias(n) for n, q in (QUANTILES | (more or {})).items()]
     return [F.round(F.avg(column), 4).alias("mean"), *qs, F.max(column).alias("max")]
 
 
@@ -116,6 +126,8 @@ def weighted_scores(pairs: DataFrame, tg: DataFrame) -> DataFrame:
 
 
 def similarity_profile(pairs: DataFrame) -> DataFrame:
+    """Rates and describe() of true pairs; one that names an unknown id has empty fields on that side."""
+    pairs = pairs.na.fill("", ["sn", "sa", "tn", "ta"])
     n, a = X.jaccard(X.tokens_min1(F.col("sn")), X.tokens_min1(F.col("tn"))), X.jaccard(X.tokens_min1(F.col("sa")), X.tokens_min1(F.col("ta")))
     p = pairs.select(
         ((F.col("sn") == F.col("tn")) & (F.col("sn") != "")).alias("nx"), ((F.col("sa") == F.col("ta")) & (F.col("sa") != "")).alias("ax"),
@@ -123,7 +135,9 @@ def similarity_profile(pairs: DataFrame) -> DataFrame:
     )
     stats = [f(c, l) for c, l in (("nj", "name_jaccard"), ("aj", "address_jaccard")) for f in (
         lambda c, l: F.round(F.avg(c), 6).alias(l + "_mean"), lambda c, l: F.round(F.stddev_samp(c), 6).alias(l + "_std"),
-        lambda c, l: F.round(F.percentile(c, F.lit(0.5)), 6).alias(l + "_median"), lambda c, l: F.round(F.min(c), 6).alias(l + "_min"),
+        lambda c, l: F.round(F.min(c), 6).alias(l + "_min"), lambda c, l: F.round(F.percentile(c, F.lit(0.25)), 6).alias(l + "_p25"),
+        lambda c, l: F.round(F.percentile(c, F.lit(0.5)), 6).alias(l + "_median"), lambda c, l: F.round(F.percentile(c, F.lit(0.75)), 6).alias(l + "_p75"),
+        lambda c, l: F.round(F.max(c), 6).alias(l + "_max"),
     )]
     return p.agg(F.count(F.lit(1)).alias("n_pairs"), rate(F.col("nx")).alias("name_exact"), rate(F.col("ax")).alias("address_exact"), rate(F.col("cx")).alias("country_match"), rate(F.col("nx") & F.col("ax")).alias("both_exact"), *stats)
 
@@ -144,19 +158,43 @@ def method_row(method: str, sample: DataFrame, truth: DataFrame, candidates: Dat
 
 
 def sweep(sample: DataFrame, tg: DataFrame, truth: DataFrame, cutoffs: list[int], ns: list[int], hybrid: bool, fallback: int = 100) -> DataFrame:
-    """One row per method: rarest tokens for every cutoff and n, and with `hybrid` the baseline and the fallback variants too."""
-    rows = []
+    """One row per method (see `method_row`): rarest tokens for every cutoff and n, and with `hybrid` the baseline and the fallback
+    variants too.
+
+    Tokens are ranked once, as those up to a cutoff are the first of the ranking. A candidate pair carries a bit for each cutoff and n
+    that retrieves it and one for the baseline; sums per reference give the size of every candidate set and its hits."""
+    grid = [(c, n) for c in cutoffs for n in ns]
+    known = frequency.df_union(tg, X.tokens_stop55).where(F.col("df") <= max(cutoffs))
+    w = Window.partitionBy("s", "country").orderBy("df", "token")
+    rare = blocking.ranked_union_tokens(sample, known).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max(ns))
+    post = blocking.union_tokens(tg, X.tokens_stop55).select("country", "token", F.col("entity_id").alias("t"))
+    bits = sum((F.when((F.col("df") <= c) & (F.col("rn") <= n), F.lit(1 << k)).otherwise(F.lit(0)) for k, (c, n) in enumerate(grid)), F.lit(0))
+    met = rare.join(post, ["country", "token"]).select("s", "t", bits.cast("long").alias("m"), F.lit(0).alias("b"))
     if hybrid:
-        rows.append(method_row("BASELINE", sample, truth, blocking.baseline_block(sample, tg)))
-    for c in cutoffs:
-        for n in ns:
-            rows.append(method_row(f"RAREST / {c} / {n}", sample, truth, blocking.rarest_union_block(sample, tg, n, c)))
-            if hybrid:
-                rows.append(method_row(f"HYBRID / {c} / {n} / {fallback}", sample, truth, blocking.hybrid_block(sample, tg, n, c, fallback)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        met = met.unionByName(blocking.baseline_block(sample, tg).select("s", "t", F.lit(0).cast("long").alias("m"), F.lit(1).alias("b")))
+    pairs = met.groupBy("s", "t").agg(F.bit_or("m").alias("m"), F.max("b").alias("b"))
+    true = truth.select(F.col("source1_entity_id").alias("s"), F.col("target_entity_id").alias("t"), F.lit(1).alias("y"))
+    pairs = pairs.join(true, ["s", "t"], "left").withColumn("y", F.coalesce("y", F.lit(0)))
+    bit = lambda k: F.getbit("m", F.lit(k)).cast("long")
+    sums = [F.sum("b").alias("bn"), F.sum(F.col("b") * F.col("y")).alias("bh")]
+    for k in range(len(grid)):
+        sums += [F.sum(bit(k)).alias(f"n{k}"), F.sum(bit(k) * F.col("y")).alias(f"h{k}")]
+        sums += [F.sum(F.greatest(bit(k), F.col("b"))).alias(f"u{k}"), F.sum(F.greatest(bit(k), F.col("b")) * F.col("y")).alias(f"v{k}")]
+    per = sample.select(F.col("entity_id").alias("s")).join(pairs.groupBy("s").agg(*sums), "s", "left").na.fill(0)
+    cell = lambda name, n, h: F.struct(F.lit(name).alias("method"), n.cast("long").alias("k"), h.cast("long").alias("h"))
+    cells = [cell("BASELINE", F.col("bn"), F.col("bh"))] if hybrid else []
+    for k, (c, n) in enumerate(grid):
+        cells.append(cell(f"RAREST / {c} / {n}", F.col(f"n{k}"), F.col(f"h{k}")))
+        if hybrid:
+            few = F.col(f"n{k}") < fallback
+            cells.append(cell(f"HYBRID / {c} / {n} / {fallback}", F.when(few, F.col(f"u{k}")).otherwise(F.col(f"n{k}")), F.when(few, F.col(f"v{k}")).otherwise(F.col(f"h{k}"))))
+    few_true = true.join(sample.select(F.col("entity_id").alias("s")), "s", "left_semi").agg(F.count(F.lit(1)).alias("n_true"))
+    stats = per.select(F.explode(F.array(*cells)).alias("x")).select("x.*").groupBy("method").agg(
+        F.sum("h").alias("h"), F.round(F.avg("k"), 4).alias("mean"),
+        *[F.round(F.percentile("k", F.lit(QUANTILES[q])), 4).alias(q) for q in ("median", "p95", "p99")], F.max("k").alias("max"),
+    )
+    recall = F.round(100.0 * F.col("h") / F.nullif(F.col("n_true"), F.lit(0)), 4).alias("recall")
+    return stats.join(F.broadcast(few_true)).select("method", recall, "mean", "median", "p95", "p99", "max")
 
 
 def recall_at(ranked: DataFrame, truth: DataFrame, ks: list[int]) -> DataFrame:

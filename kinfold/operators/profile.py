@@ -41,8 +41,25 @@ def match_counts(truth: DataFrame, references: DataFrame) -> DataFrame:
 
 
 def name_profile(df: DataFrame) -> DataFrame:
-    """(name_norm, n): how often each non-empty normal name occurs."""
-    return df.select(normalize(na_to_null(F.col("business_name"))).alias("name_norm")).where("name_norm <> ''").groupBy("name_norm").agg(F.count(F.lit(1)).alias("n"))
+    """(country, name_norm, n): how often each non-empty normal name occurs in each country; rows without a country are in none."""
+    c = df.select(na_to_null(F.col("country")).alias("country"), normalize(na_to_null(F.col("business_name"))).alias("name_norm"))
+    return c.where("name_norm <> '' and country is not null").groupBy("country", "name_norm").agg(F.count(F.lit(1)).alias("n"))
+
+
+def name_summary(df: DataFrame) -> DataFrame:
+    """One row: empty names, names per country, rows with a name, rows of names that are alone in their country and of the others, with
+    their shares of the rows with a name, and describe() of the counts."""
+    rows = df.agg(
+        F.count(F.lit(1)).alias("_all"), F.sum(F.when(normalize(na_to_null(F.col("business_name"))) == "", 1).otherwise(0)).alias("n_empty")
+    ).select("n_empty", (F.col("_all") - F.col("n_empty")).alias("n_rows"))
+    one = lambda x: F.sum(F.when(x, F.col("n")).otherwise(0))
+    q = lambda x, n: F.round(F.percentile("n", F.lit(x)), 6).alias(n)
+    c = name_profile(df).agg(
+        F.count(F.lit(1)).alias("n_names"), one(F.col("n") == 1).alias("rows_unique"), one(F.col("n") > 1).alias("rows_duplicated"), F.round(F.avg("n"), 6).alias("mean"),
+        F.round(F.stddev_samp("n"), 6).alias("std"), F.min("n").alias("least"), q(0.25, "p25"), q(0.5, "median"), q(0.75, "p75"), F.max("n").alias("most"),
+    )
+    share = lambda x: F.round(F.col(x) / F.nullif(F.col("n_rows"), F.lit(0)), 6)
+    return rows.join(F.broadcast(c)).select("*", share("rows_unique").alias("share_unique"), share("rows_duplicated").alias("share_duplicated"))
 
 
 def inspect(ref: DataFrame, tg: DataFrame, truth: DataFrame, ident: str) -> DataFrame:

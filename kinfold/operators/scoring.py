@@ -1,7 +1,7 @@
 """Cheap scores and the 17 features of a candidate pair, as column expressions."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -15,20 +15,26 @@ FEATURES = [
 ]
 
 
-def attach(pairs: DataFrame, s1: DataFrame, tg: DataFrame) -> DataFrame:
-    """Adds both records' normal forms and countries; pairs with an unknown id are dropped."""
-    left = s1.select(F.col("entity_id").alias("s"), F.col("name_norm").alias("sn"), F.col("address_norm").alias("sa"), F.col("country").alias("sc"))
-    right = tg.select(F.col("entity_id").alias("t"), F.col("name_norm").alias("tn"), F.col("address_norm").alias("ta"), F.col("country").alias("tc"))
-    return pairs.join(left.dropDuplicates(["s"]), "s").join(right.dropDuplicates(["t"]), "t")
+def one_per_id(df: DataFrame) -> DataFrame:
+    """One record per id: the least of its contents where it has several."""
+    rest = [c for c in df.columns if c != "entity_id"]
+    return df.groupBy("entity_id").agg(F.min(F.struct(*rest)).alias("_r")).select("entity_id", "_r.*")
+
+
+def attach(pairs: DataFrame, s1: DataFrame, tg: DataFrame, how: str = "inner") -> DataFrame:
+    """Adds both records' normal forms and countries; pairs with an unknown id are dropped, or kept with nulls by how='left'."""
+    left, right = (one_per_id(d.select("entity_id", "name_norm", "address_norm", "country")) for d in (s1, tg))
+    left = left.select(F.col("entity_id").alias("s"), F.col("name_norm").alias("sn"), F.col("address_norm").alias("sa"), F.col("country").alias("sc"))
+    right = right.select(F.col("entity_id").alias("t"), F.col("name_norm").alias("tn"), F.col("address_norm").alias("ta"), F.col("country").alias("tc"))
+    return pairs.join(left, "s", how).join(right, "t", how)
 
 
 def _exact(a: str, b: str):
     return ((F.col(a) == F.col(b)) & (F.col(a) != "")).cast("long")
 
 
-def cheap_score(pairs: DataFrame, s1: DataFrame, tg: DataFrame) -> DataFrame:
-    """(s, t, name_exact, address_exact, name_shared, address_shared, score) of same-country pairs."""
-    p = attach(pairs.select("s", "t"), s1, tg).where("sc = tc")
+def cheap_columns() -> dict[str, Column]:
+    """Columns of the cheap score over attached records."""
     nt, at = [X.tokens_min3(F.col(c)) for c in ("sn", "tn")], [X.tokens_min3(F.col(c)) for c in ("sa", "ta")]
     ns, as_ = F.size(F.array_intersect(*nt)), F.size(F.array_intersect(*at))
     nc = X.jaccard(X.characters(F.col("sn")), X.characters(F.col("tn")))
@@ -38,16 +44,28 @@ def cheap_score(pairs: DataFrame, s1: DataFrame, tg: DataFrame) -> DataFrame:
         nx * 100.0 + ax * 100.0 + X.overlap(*nt) * 30.0 + X.overlap(*at) * 40.0 + F.least(ns, F.lit(5)) * 8.0 + F.least(as_, F.lit(5)) * 10.0
         + nc * 5.0 + ac * 5.0
     )
-    return p.select(
-        "s", "t", nx.alias("name_exact"), ax.alias("address_exact"), ns.cast("long").alias("name_shared"), as_.cast("long").alias("address_shared"),
-        F.round(score, 4).alias("score"),
-    )
+    return {
+        "same_country": F.coalesce(F.col("sc") == F.col("tc"), F.lit(False)), "name_exact": nx, "address_exact": ax, "name_shared": ns.cast("long"),
+        "address_shared": as_.cast("long"), "cheap": F.round(score, 4),
+    }
+
+
+def cheap_score(pairs: DataFrame, s1: DataFrame, tg: DataFrame) -> DataFrame:
+    """(s, t, name_exact, address_exact, name_shared, address_shared, score) of same-country pairs."""
+    p = attach(pairs.select("s", "t"), s1, tg)
+    return cheap_scored(p.select("s", "t", *[c.alias(n) for n, c in cheap_columns().items()]))
+
+
+def cheap_scored(p: DataFrame) -> DataFrame:
+    return p.where("same_country").select("s", "t", "name_exact", "address_exact", "name_shared", "address_shared", F.col("cheap").alias("score"))
 
 
 def stage1(pairs: DataFrame, s1: DataFrame, tg: DataFrame, k: int = 20) -> DataFrame:
-    """(s, t, score, rank): pairs worth a model, at most k per reference. The k best are found per task first."""
+    """(s, t, score, rank): pairs worth a model, at most k per reference. The k best are found per task first. Pairs that carry the
+    columns of the cheap score already aren't attached again."""
+    scored = cheap_scored(pairs) if "cheap" in pairs.columns else cheap_score(pairs, s1, tg)
     keep = (F.col("name_exact") == 1) | (F.col("address_exact") == 1) | (F.col("name_shared") >= 2) | (F.col("address_shared") >= 2) | (F.col("score") >= 30)
-    return top_k(cheap_score(pairs, s1, tg).where(keep).select("s", "t", "score"), k)
+    return top_k(scored.where(keep).select("s", "t", "score"), k)
 
 
 def features(pairs: DataFrame, s1: DataFrame, tg: DataFrame, mode: str = "serving") -> DataFrame:

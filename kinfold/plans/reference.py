@@ -1,7 +1,7 @@
 """Registered queries of the entity-resolution pipeline over the test tables.
 
 Cutoffs are parameters; most queries use small ones, so that the limits take effect on small tables too. best_match and the queries
-called *_production use those of production. All run over whole tables; the
+called *_production use those of production. Queries called *_alike judge by a fixed similarity instead of a model. All run over whole tables; the
 experiments that are defined over a sample of references (2,000) say so in their name in the catalogue: baseline, sweep, recall at k."""
 from __future__ import annotations
 
@@ -18,7 +18,15 @@ CFG_V1 = blocking.BlockingConfig(max_token_freq=50, k_name=2, k_address=2, cap=2
 PRODUCTION = blocking.BlockingConfig()
 PRODUCTION_V1 = blocking.BlockingConfig(max_token_freq=1000, k_name=2, k_address=2, exact_bonus=100_000.0, exact_blocks=False)
 EXPERIMENT_CUTOFF, SAMPLE = 25, 2_000
-CUTOFFS = [5, 10, 25, 50, 100]
+#: Cutoffs of the recall experiments; of the sweeps, scaled to the test tables; and K of the ranked lists.
+RARE_CUTOFFS = [5, 10, 20, 50, 100, 250, 500, 1000, 2500, 5000]
+MIN_FREQ_CUTOFFS = [50, 100, 250, 500, 1000, 2500, 5000]
+NUMBER_CUTOFFS = [10, 25, 50, 100, 250, 500, 1000]
+HYBRID_CUTOFFS = [25, 50, 100, 250, 500, 1000, 2500, 5000]
+SWEEP_HYBRID, SWEEP_RAREST, SWEEP_N = [10, 25, 50], [10, 25, 50, 100], [1, 2, 3, 4]
+KS = [50, 100, 250, 500, 1000]
+OVER = [0, 10, 100, 500, 1000, 5000]
+THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
 
 def _s1(s: SparkSession, d: str, split: str = "test") -> DataFrame:
@@ -29,6 +37,11 @@ def _tg(s: SparkSession, d: str, split: str = "test") -> DataFrame:
     return entities.targets(s, d, split)
 
 
+def _kept(s: SparkSession, d: str, split: str = "test") -> tuple[DataFrame, DataFrame]:
+    """References and targets, prepared once for plans that read them several times."""
+    return materialize(_s1(s, d, split), "references"), materialize(_tg(s, d, split), "targets")
+
+
 def _pairs(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.col("s").alias("source1_entity_id"), F.col("t").alias("candidate_entity_id"), *more)
 
@@ -159,10 +172,12 @@ def cross_field_block(s, d):
 
 
 def candidate_volume(s, d):
-    c = blocking.cross_field_counts(_s1(s, d), _tg(s, d), EXPERIMENT_CUTOFF)
+    c = materialize(blocking.cross_field_counts(*_kept(s, d), EXPERIMENT_CUTOFF), "volume")
     both = c.groupBy("s").agg(F.sum("n").alias("n")).withColumn("target_source", F.lit("all"))
-    over = [F.sum(F.when(F.col("n") > k, 1).otherwise(0)).alias(f"over_{k}") for k in (10, 100)]
-    return c.unionByName(both).groupBy("target_source").agg(F.count(F.lit(1)).alias("n_references"), *evaluate.distribution(c, "n"), F.round(F.stddev_samp("n"), 4).alias("std"), *over)
+    over = [F.sum(F.when(F.col("n") > k, 1).otherwise(0)).alias(f"over_{k}") for k in OVER[1:]]
+    none = F.sum(F.when(F.col("n") == 0, 1).otherwise(0)).alias("n_empty")
+    stats = evaluate.distribution(c, "n", {"p90": 0.9, "p999": 0.999})
+    return c.unionByName(both).groupBy("target_source").agg(F.count(F.lit(1)).alias("n_references"), *stats, F.min("n").alias("least"), F.round(F.stddev_samp("n"), 4).alias("std"), none, *over)
 
 
 def topk_idf_production(s, d):
@@ -174,7 +189,7 @@ def hybrid_rank_production(s, d):
 
 
 def _v2(s, d, cfg=CFG):
-    return blocking.candidates(_s1(s, d), _tg(s, d), cfg)
+    return blocking.candidates(*_kept(s, d), cfg)
 
 
 def candidates_v2(s, d):
@@ -182,7 +197,7 @@ def candidates_v2(s, d):
 
 
 def candidates_v1(s, d):
-    return _pairs(blocking.candidates(_s1(s, d), _tg(s, d), CFG_V1), "score")
+    return _pairs(blocking.candidates(*_kept(s, d), CFG_V1), "score")
 
 
 def candidates_v2_production(s, d):
@@ -190,7 +205,7 @@ def candidates_v2_production(s, d):
 
 
 def candidates_v1_production(s, d):
-    return _pairs(blocking.candidates(_s1(s, d), _tg(s, d), PRODUCTION_V1), "score")
+    return _pairs(blocking.candidates(*_kept(s, d), PRODUCTION_V1), "score")
 
 
 def protected_cap(s, d):
@@ -201,26 +216,40 @@ def run_totals(s, d):
     return evaluate.run_totals(_s1(s, d), _v2(s, d))
 
 
+def _cheap(s, d, cfg=CFG):
+    """Candidates with the columns of the cheap score, and the records."""
+    a, b = _kept(s, d)
+    return blocking.candidates(a, b, cfg, scoring.cheap_columns()), a, b
+
+
 def stage1_cheap_score(s, d):
-    c = scoring.cheap_score(_v2(s, d), _s1(s, d), _tg(s, d))
+    c = scoring.cheap_scored(_cheap(s, d)[0])
     return _pairs(c, "name_exact", "address_exact", "name_shared", "address_shared", "score")
 
 
 def _stage1(s, d, cfg=CFG):
-    return scoring.stage1(_v2(s, d, cfg), _s1(s, d), _tg(s, d))
+    """(pairs of stage 1, references, targets)."""
+    c, a, b = _cheap(s, d, cfg)
+    return scoring.stage1(c, a, b), a, b
 
 
 def stage1_top20(s, d):
-    return _pairs(_stage1(s, d), "score", "rank")
+    return _pairs(_stage1(s, d)[0], "score", "rank")
+
+
+def stage1_top20_production(s, d):
+    return _pairs(_stage1(s, d, PRODUCTION)[0], "score", "rank")
 
 
 def stage1_reduction(s, d):
-    a, b = _v2(s, d).agg(F.count(F.lit(1)).alias("n_before")), _stage1(s, d).agg(F.count(F.lit(1)).alias("n_after"))
+    c, x, y = _cheap(s, d)
+    a, b = c.agg(F.count(F.lit(1)).alias("n_before")), scoring.stage1(c, x, y).agg(F.count(F.lit(1)).alias("n_after"))
     return a.join(F.broadcast(b)).select("n_before", "n_after", F.round(100.0 * (1 - F.col("n_after") / F.nullif(F.col("n_before"), F.lit(0))), 4).alias("reduction_percent"))
 
 
 def features_serving(s, d):
-    return _pairs(scoring.features(_stage1(s, d).select("s", "t"), _s1(s, d), _tg(s, d)), *scoring.FEATURES)
+    p, a, b = _stage1(s, d)
+    return _pairs(scoring.features(p.select("s", "t"), a, b), *scoring.FEATURES)
 
 
 def _train(s, d):
@@ -251,8 +280,12 @@ def stratified_split(s, d):
     return _pairs(training.stratified_split(_train(s, d)[0]), "label", "part")
 
 
-def _true(s, d):
-    return evaluate.true_pairs(entities.truth(s, d), _s1(s, d, "train"), _tg(s, d, "train"))
+def _true(s, d, how="inner"):
+    return evaluate.true_pairs(entities.truth(s, d), _s1(s, d, "train"), _tg(s, d, "train"), how)
+
+
+def dangling_pairs(s, d):
+    return evaluate.dangling(entities.truth(s, d), _s1(s, d, "train"), _tg(s, d, "train"))
 
 
 def jaccard_variants(s, d):
@@ -263,19 +296,19 @@ def jaccard_variants(s, d):
 
 
 def recall_block_exact(s, d):
-    return evaluate.recall_exact(_true(s, d))
+    return evaluate.recall_exact(_true(s, d, "left"))
 
 
 def recall_shared_token(s, d):
-    return evaluate.recall_shared_token(_true(s, d))
+    return evaluate.recall_shared_token(_true(s, d, "left"))
 
 
 def recall_rare_cutoff(s, d):
-    return evaluate.recall_rare_cutoff(_true(s, d), _tg(s, d, "train"), CUTOFFS)
+    return evaluate.recall_rare_cutoff(_true(s, d), _tg(s, d, "train"), RARE_CUTOFFS)
 
 
 def recall_min_freq(s, d):
-    return evaluate.recall_rare_cutoff(_true(s, d), _tg(s, d, "train"), CUTOFFS, same_country=False)
+    return evaluate.recall_rare_cutoff(_true(s, d), _tg(s, d, "train"), MIN_FREQ_CUTOFFS, same_country=False)
 
 
 def recall_shared_count(s, d):
@@ -283,11 +316,11 @@ def recall_shared_count(s, d):
 
 
 def recall_numeric(s, d):
-    return evaluate.recall_numbers(_true(s, d), _tg(s, d, "train"), CUTOFFS)
+    return evaluate.recall_numbers(_true(s, d), _tg(s, d, "train"), NUMBER_CUTOFFS)
 
 
 def recall_hybrid_rule(s, d):
-    return evaluate.recall_hybrid_rule(_true(s, d), _tg(s, d, "train"), CUTOFFS)
+    return evaluate.recall_hybrid_rule(_true(s, d), _tg(s, d, "train"), HYBRID_CUTOFFS)
 
 
 def weighted_score_dist(s, d):
@@ -296,21 +329,23 @@ def weighted_score_dist(s, d):
 
 
 def similarity_profile(s, d):
-    return evaluate.similarity_profile(_true(s, d))
+    return evaluate.similarity_profile(_true(s, d, "left"))
 
 
 def sweep_rarest(s, d):
-    return evaluate.sweep(_sampled(s, d, "train"), _tg(s, d, "train"), entities.truth(s, d), [10, 50], [1, 2, 3, 4], hybrid=False)
+    return evaluate.sweep(_sampled(s, d, "train"), _tg(s, d, "train"), entities.truth(s, d), SWEEP_RAREST, SWEEP_N, hybrid=False)
 
 
 def sweep_hybrid(s, d):
-    return evaluate.sweep(_sampled(s, d, "train"), _tg(s, d, "train"), entities.truth(s, d), [25], [1, 2], hybrid=True)
+    return evaluate.sweep(_sampled(s, d, "train"), _tg(s, d, "train"), entities.truth(s, d), SWEEP_HYBRID, SWEEP_N, hybrid=True)
 
 
 def recall_at_k(s, d):
-    ref = _sampled(s, d, "train")
+    """Both rankings with production's frequency limit, at every K."""
+    ref, tg = materialize(_sampled(s, d, "train"), "sample"), materialize(_tg(s, d, "train"), "targets")
     few = entities.truth(s, d).join(ref.select(F.col("entity_id").alias("source1_entity_id")), "source1_entity_id", "left_semi")
-    return evaluate.recall_at(blocking.idf_ranked(ref, _tg(s, d, "train"), 100, 50), few, [1, 5, 10, 50])
+    out = [evaluate.recall_at(f(ref, tg, 5000, max(KS)), few, KS).withColumn("ranking", F.lit(n)) for n, f in (("idf", blocking.idf_ranked), ("hybrid", blocking.count_ranked))]
+    return out[0].unionByName(out[1])
 
 
 def _sources(s, d, split="train"):
@@ -357,11 +392,7 @@ def name_dup_profile(s, d):
 
 
 def name_dup_summary(s, d):
-    p = profile.name_profile(table(s, d, "test_source2"))
-    return p.agg(
-        F.count(F.lit(1)).alias("n_names"), F.sum("n").alias("n_rows"), F.round(F.avg(F.when(F.col("n") == 1, 1.0).otherwise(0.0)), 6).alias("share_unique"),
-        F.round(F.avg("n"), 6).alias("mean"), F.round(F.stddev_samp("n"), 6).alias("std"), F.max("n").alias("most"),
-    )
+    return profile.name_summary(table(s, d, "test_source2"))
 
 
 def unique_names_by_country(s, d):
@@ -370,7 +401,7 @@ def unique_names_by_country(s, d):
 
 
 def top_names(s, d):
-    return profile.name_profile(table(s, d, "test_source2")).orderBy(F.desc("n"), "name_norm").limit(20)
+    return profile.name_profile(table(s, d, "test_source2")).orderBy(F.desc("n"), "country", "name_norm").limit(20)
 
 
 def inspect_entity(s, d):
@@ -393,10 +424,69 @@ def classifier_metrics(s, d):
     return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
 
 
-def best_match(s, d):
+def _alike(s, d, labelled=False):
+    """Pairs with a fixed stand-in for a model's probability, the mean of the two Jaccard similarities, so that what follows a model can
+    be checked in SQL."""
+    p = F.round((F.col("name_jaccard") + F.col("address_jaccard")) / 2, 6).alias("match_probability")
+    if labelled:
+        pairs, a, b = _train(s, d)
+        return scoring.features(pairs, a, b, "training").select("s", "t", "label", p)
+    pairs, a, b = _stage1(s, d)
+    return scoring.features(pairs.select("s", "t"), a, b).select("s", "t", p)
+
+
+def best_match_alike(s, d):
+    return training.best_match(_alike(s, d), _s1(s, d))
+
+
+def all_matches_alike(s, d):
+    return training.best_match(_alike(s, d), _s1(s, d), mode="all")
+
+
+def scored_matches_alike(s, d):
+    return training.scored_matches(_alike(s, d))
+
+
+def match_totals_alike(s, d):
+    return training.match_totals(best_match_alike(s, d))
+
+
+def metrics_alike(s, d):
+    m = training.metrics(_alike(s, d, True))
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+
+
+def report_alike(s, d):
+    return training.report(_alike(s, d, True))
+
+
+def threshold_sweep_alike(s, d):
+    return training.threshold_sweep(_alike(s, d, True), THRESHOLDS)
+
+
+def _production_scores(s, d):
     model, _ = _model(s, d)
-    s1, tg = _s1(s, d), _tg(s, d)
-    return training.best_match(training.scored(model, scoring.features(_stage1(s, d, PRODUCTION).select("s", "t"), s1, tg)), s1)
+    p, a, b = _stage1(s, d, PRODUCTION)
+    return training.scored(model, scoring.features(p.select("s", "t"), a, b)), a
+
+
+def best_match(s, d):
+    scores, s1 = _production_scores(s, d)
+    return training.best_match(scores, s1)
+
+
+def scored_matches(s, d):
+    return training.scored_matches(_production_scores(s, d)[0])
+
+
+def classifier_report(s, d):
+    model, f = _model(s, d)
+    return training.report(training.scored(model, f.where("part = 'test'")))
+
+
+def classifier_thresholds(s, d):
+    model, f = _model(s, d)
+    return training.threshold_sweep(training.scored(model, f.where("part = 'test'")), THRESHOLDS)
 
 
 def queries():
@@ -412,6 +502,8 @@ def queries():
         training_positives, training_negatives, stratified_split, jaccard_variants, recall_block_exact, recall_shared_token, recall_rare_cutoff,
         recall_min_freq, recall_shared_count, recall_numeric, recall_hybrid_rule, weighted_score_dist, similarity_profile, sweep_rarest, sweep_hybrid,
         recall_at_k, candidates_v2_production, candidates_v1_production, topk_idf_production, hybrid_rank_production, missing_values, dup_ids, country_counts, match_count_hist, match_summary, match_type, match_by_country, name_dup_profile,
-        name_dup_summary, unique_names_by_country, top_names, inspect_entity, classifier_metrics, best_match,
+        name_dup_summary, unique_names_by_country, top_names, inspect_entity, classifier_metrics, classifier_report,
+        classifier_thresholds, best_match, scored_matches, dangling_pairs, stage1_top20_production, best_match_alike, all_matches_alike, scored_matches_alike,
+        match_totals_alike, metrics_alike, report_alike, threshold_sweep_alike,
     ]
     return {f.__name__: f for f in fs} | named

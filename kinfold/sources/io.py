@@ -17,14 +17,19 @@ REFERENCE_ALIASES = ("source1_entity_id", "s1_id", "source1_id")
 TARGET_ALIASES = ("candidate_entity_id", "target_id", "matched_entity_id", "target_entity_id")
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType = ENTITY) -> DataFrame:
-    """Tab-separated with a header; every column a string, missing-value literals null. A missing path raises FileNotFoundError."""
+def _must_exist(path: str, read) -> DataFrame:
     try:
-        df = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False).csv(path)
+        return read()
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
+        if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from e
         raise
+
+
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType = ENTITY) -> DataFrame:
+    """Tab-separated with a header; every column a string, missing-value literals null. A missing path raises FileNotFoundError."""
+    reader = spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False)
+    df = _must_exist(path, lambda: reader.csv(path))
     return df.select(*[na_to_null(F.col(c)).alias(c) for c in df.columns])
 
 
@@ -35,7 +40,8 @@ def load_split(spark: SparkSession, folder: str, split: str) -> tuple[DataFrame,
 
 
 def columns_of(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("sep", "\t").option("header", True).csv(path).columns
+    """Names in the header of a tab-separated file. A missing path raises FileNotFoundError."""
+    return _must_exist(path, lambda: spark.read.option("sep", "\t").option("header", True).csv(path)).columns
 
 
 def resolve_pair_columns(columns: list[str]) -> tuple[str, str]:
@@ -53,15 +59,21 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+    write_csv(df, path, "\t")
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Delimited text with a header, quoted where needed; such as the summary of a sweep."""
+    df.write.mode("overwrite").option("sep", sep).option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
 
 
 def checkpointed(spark: SparkSession, path: str, build, force: bool = False) -> DataFrame:
-    """The table at path if it is there and force is off; else built, written and read back."""
+    """The table at path if it is there and force is off; else built, written and read back. Only a path that isn't there counts as
+    absent: a table that can't be read is an error, and one that is there is taken as it is, however old."""
     if not force:
         try:
-            return spark.read.parquet(path)
-        except AnalysisException:
+            return _must_exist(path, lambda: spark.read.parquet(path))
+        except FileNotFoundError:
             pass
     build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -14,6 +14,17 @@ CASES = {
     "{'S3-1,80' 'S3-2'}": ["S3-1,80", "S3-2"],
     "S2-1/S3-2 / S2-3": ["S2-1", "S3-2", "S2-3"],
     "S2-1\tS3-2\nS2-3": ["S2-1", "S3-2", "S2-3"],
+    '"Acme Inc","Bolt Co"': ["Acme Inc", "Bolt Co"],
+    '"Smith, John";"Doe, Jane"': ["Smith, John", "Doe, Jane"],
+    "New York; Boston": ["New York", "Boston"],
+    "a.b@x.com, c@y.com": ["a.b@x.com", "c@y.com"],
+    "Acme Inc.; Bolt & Co. | O'Brien Ltd": ["Acme Inc.", "Bolt & Co.", "O'Brien Ltd"],
+    "red/green  blue": ["red", "green", "blue"],
+    '"He said ""no""";yes': ['He said "no"', "yes"],
+    "Jean-Luc Picard; Room B-12, Studio-54 Club": ["Jean-Luc Picard", "Room B-12", "Studio-54 Club"],
+    ",S2-7  S3-4 S3-2/9C S2-8": ["S2-7", "S3-4", "S3-2/9C", "S2-8"],
+    "New York": ["New York"],
+    "x;'y": ["x", "y"],
 }
 
 
@@ -40,5 +51,5 @@ def test_very_long_list(spark):
 
 
 def test_rule_is_per_skeleton():
-    assert splitting_rule("I,I") == [(0, 1, ""), (1, 1, "")]
-    assert splitting_rule("'I,a',I") == [(0, 2, ","), (2, 1, "")]
+    assert splitting_rule("I,I") == [(0, "", (), ""), (1, "", (), "")]
+    assert splitting_rule("'I,a',I") == [(0, "", (",",), ""), (2, "", (), "")]
