@@ -22,7 +22,14 @@ _LEFT_OUT = re.compile(
 )
 _GLUED_HINT = re.compile(r"[a-zà-ÿ0-9][A-Z][A-Za-z]|[a-z]\d")
 _GLUED = re.compile(r"(?<=[a-zà-ÿ])(?=[A-Z][A-Za-z])|(?<=[a-z])(?=\d+ [A-Z])|(?<=\d)(?=[A-Z][a-z]{2})")
-_SPACE_HINT = re.compile(r"\d{3} \d{3}")
+#: Words one of which stands in every part that is left out, unless it holds '#'.
+_LEFT_OUT_WORDS = frozenset(
+    "suite ste unit shop flat apt apartment room bp bat batiment escalier esc fl floor etage gr ground rear rdc residence near behind opp opposite beside next "
+    "hno no n plotno doorno dno pin code cedex f".split()
+) | {o + f for o in ("st", "nd", "rd", "th", "er", "e", "eme") for f in ("fl", "floor", "etage")}
+# byte tables: what isn't a letter, and what isn't part of a token, become spaces (bytes beyond ASCII too)
+_LETTERS = bytes(c if chr(c).isalpha() and c < 128 else 32 for c in range(256))
+_SPACED = bytes(c if c < 128 and (chr(c).isalnum() or chr(c) in ",;-/'") else 32 for c in range(256))
 _TOKEN = re.compile(r"\d+(?:[/-]\d+)*[a-z]?(?![a-z0-9])|[a-z0-9]+(?:'[a-z]+)?|[,;]|(?<=\s)[-/]|[-/](?=\s)")
 _NUMBER = re.compile(r"\d+(?:[/-]\d+)*[a-z]?$")
 _ZIP4 = re.compile(r"\d{5}-\d{4}$")
@@ -48,12 +55,11 @@ def parse_address(raw: str | None) -> Address | None:
 
 
 STOP, NUMBER, TOWN, OTHER_WORD = range(4)
-#: Of a token: what it reads as, what it may be, and its kind of street or ''.
-_tokens: dict[str, tuple[str, int, str]] = {}
+#: Of a run of characters without spaces: its tokens, each with what it reads as, what it may be, and its kind of street or ''.
+_runs: dict[str, tuple[tuple[str, int, str], ...]] = {}
 
 
 def _token(t: str) -> tuple[str, int, str]:
-    raw = t
     if t.isalpha():
         t = "st" if t == "saint" else t
     elif _ZIP4.match(t):
@@ -75,12 +81,46 @@ def _token(t: str) -> tuple[str, int, str]:
         what = NUMBER
     else:
         what = OTHER_WORD if len(t) < 3 or t in SMALL or t in STATE_WORDS or t in BIS or t in ("tamil", "nadu") else TOWN
-    if len(_tokens) > 300_000:
-        _tokens.clear()
-    out = _tokens[raw] = t, what, STREET_TYPE.get(t, "")
+    return t, what, STREET_TYPE.get(t, "")
+
+
+def _run(raw: str) -> tuple[tuple[str, int, str], ...]:
+    if len(_runs) > 300_000:
+        _runs.clear()
+    out = _runs[raw] = tuple(map(_token, _TOKEN.findall(" " + raw + " ")))
     return out
 
 
+def _tokens(s: str) -> tuple[list[str], list[int], list[tuple[int, str]], set[int], bool]:
+    """Tokens, what each may be, kinds of street by position, positions before which a separator stands, and whether two numbers of
+    three digits follow one another."""
+    toks: list[str] = []
+    what: list[int] = []
+    kinds: list[tuple[int, str]] = []
+    stops: set[int] = {0}
+    halves, three = False, False
+    if "," in s:
+        s = s.replace(",", " , ")
+    if ";" in s:
+        s = s.replace(";", " ; ")
+    for raw in s.encode().translate(_SPACED).decode().split():
+        if raw.isdigit():
+            halves, three = halves or three and len(raw) == 3, len(raw) == 3
+            toks.append(raw)
+            what.append(NUMBER)
+            continue
+        three = False
+        for t, w, kind in _runs.get(raw) or _run(raw):
+            if w == STOP:
+                stops.add(len(toks))
+                continue
+            if kind:
+                kinds.append((len(toks), kind))
+            toks.append(t)
+            what.append(w)
+    return toks, what, kinds, stops, halves
+
+
 @lru_cache(maxsize=20_000)
 def _parse(raw: str) -> Address:
     if _GLUED_HINT.search(raw):
@@ -88,22 +128,11 @@ def _parse(raw: str) -> Address:
     s = plain(raw)
     if "’" in s:
         s = s.replace("’", "'")
-    s = _LEFT_OUT.sub(" ; ", s)
-    if _SPACE_HINT.search(s):
-        s = _SPACE_PIN.sub(r"\1\2", s)
-    toks: list[str] = []
-    what: list[int] = []
-    kinds: list[tuple[int, str]] = []
-    stops: set[int] = {0}  # positions before which a separator stands
-    for raw_token in _TOKEN.findall(s):
-        t, w, kind = _tokens.get(raw_token) or _token(raw_token)
-        if w == STOP:
-            stops.add(len(toks))
-            continue
-        if kind:
-            kinds.append((len(toks), kind))
-        toks.append(t)
-        what.append(w)
+    if "#" in s or not _LEFT_OUT_WORDS.isdisjoint(s.encode().translate(_LETTERS).decode().split()):
+        s = _LEFT_OUT.sub(" ; ", s)
+    toks, what, kinds, stops, halves = _tokens(s)
+    if halves:
+        toks, what, kinds, stops, _ = _tokens(_SPACE_PIN.sub(r"\1\2", s))
     n = len(toks)
     best = None
     for i, kind in kinds:
@@ -177,15 +206,8 @@ def align(xs: list[str], ys: list[str], limit: float = float("inf")) -> float:
     """Affine-gap alignment cost of two token lists; a word may also stand for two neighbours written as one. Costs beyond limit come out
     as some number beyond it.
 
-    Equal ends cost nothing and are set aside. The rest is aligned within a band round the diagonal, which is doubled until a path that
-    leaves it would cost more than the best one inside, so the result is that of the whole table."""
-    i = 0
-    while i < len(xs) and i < len(ys) and xs[i] == ys[i]:
-        i += 1
-    j = 0
-    while j < len(xs) - i and j < len(ys) - i and xs[-1 - j] == ys[-1 - j]:
-        j += 1
-    xs, ys = xs[i : len(xs) - j], ys[i : len(ys) - j]
+    The lists are aligned within a band round the diagonal, which is doubled until a path that leaves it would cost more than the best one
+    inside, so the result is that of the whole table."""
     if not xs or not ys:
         n = len(xs) + len(ys)
         return OPEN + EXTEND * (n - 1) if n else 0.0

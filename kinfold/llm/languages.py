@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .mail import body_of, paragraphs
 
-#: Labelled documents that the word scores are fitted on, at most, and words kept.
-FIT_DOCS, FIT_WORDS = 3_000, 20_000
+#: Labelled documents, and full sentences of theirs, that the word scores are fitted on, at most.
+FIT_DOCS, FIT_SENTENCES = 3_000, 60_000
 #: Cost of a change of language between two words, in nats, and of a word against the best language at most.
 SWITCH, FLOOR = 5.0, -5.0
 MIN_WORDS, MIN_SENTENCES = 3, 2
@@ -68,8 +68,9 @@ def split_text(text: str | None) -> list[list[tuple[int, bool, list[str]]]]:
     return out
 
 
-def fit_words(rows: list[tuple[str | None, str | None]], most: int = FIT_WORDS) -> dict[str, np.ndarray]:
-    """Scores of words per language, log-likelihoods against the best language, from (text, language of the stored label or None).
+def fit_words(rows: list[tuple[str, str | None]]) -> dict[str, np.ndarray]:
+    """Scores of words per language, log-likelihoods against the best language, from (folded words of a full sentence, language of the
+    document's stored label or None). All words of the rows get scores.
 
     Labels may be wrong: sentences are first labelled by seed words, with the document's label as one vote, then scores and labels are
     refined in turn. Without rows the seeds alone give the scores."""
@@ -83,13 +84,7 @@ def fit_words(rows: list[tuple[str | None, str | None]], most: int = FIT_WORDS)
         v[ls] = 0.0
         prior[w] = v
     scores = dict(prior)
-    sents = []
-    for text, label in rows:
-        vote = LANGS.index(label) if label in LANGS else -1
-        for par in split_text(text):
-            for _, full, words in par:
-                if full:
-                    sents.append((vote, words))
+    sents = [(LANGS.index(label) if label in LANGS else -1, words.split(" ")) for words, label in rows]
     for turn in range(3):
         counts = [Counter() for _ in LANGS]
         docs: Counter = Counter()
@@ -111,7 +106,7 @@ def fit_words(rows: list[tuple[str | None, str | None]], most: int = FIT_WORDS)
         totals = [sum(c.values()) + 1.0 for c in counts]
         new: dict[str, np.ndarray] = {}
         size = len(docs) + 1
-        for w, _ in docs.most_common(most):
+        for w in docs:
             v = np.array([math.log((counts[i][w] + 0.02) / (totals[i] + 0.02 * size)) for i in range(K)])
             n = sum(c[w] for c in counts)
             # a word met rarely, such as a name, says little, and a seed what it said before
@@ -222,6 +217,7 @@ def _label(scores: dict[str, np.ndarray], segments: bool):
     return run
 
 
+SENTENCE = pa.schema([("doc_id", pa.int64()), ("k", pa.int64()), ("words", pa.string()), ("label", pa.string())])
 DOC = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("sentences", pa.int64()), ("confidence", pa.float64())])
 SEG = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string()), ("words", pa.int64()), ("confidence", pa.float64())])
 
@@ -231,15 +227,26 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(cols, schema)], schema=schema)
 
 
+def _sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, k, words, label): the full sentences of whole texts, words folded and joined by spaces."""
+    for batch in batches:
+        rows = [
+            (doc, k, " ".join(words), label) for doc, text, label in zip(*(c.to_pylist() for c in batch.columns)) for par in split_text(text) for k, full, words in par if full
+        ]
+        yield _rows(rows, SENTENCE)
+
+
 def _fitted(docs: DataFrame, codes: DataFrame) -> dict[str, np.ndarray]:
-    """Word scores from at most FIT_DOCS labelled documents, chosen by a hash of their ids: the choice reads ids and labels only."""
+    """Word scores from at most FIT_SENTENCES full sentences of at most FIT_DOCS labelled documents. Documents are chosen by a hash of
+    their ids, which reads ids and labels only; their whole texts are taken apart in tasks, and sentences are chosen by a hash too."""
     known = codes.where("lang is not null").select("label", F.col("lang").alias("_lang")).distinct()
     chosen = (
         docs.select("doc_id", "lang").join(F.broadcast(known), F.col("lang") == F.col("label"))
         .select("doc_id", "_lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS)
     )
-    rows = docs.select("doc_id", F.col("text").alias("_text")).join(F.broadcast(chosen), "doc_id").select(F.substring("_text", 1, 6000), "_lang")
-    return fit_words(sorted((tuple(r) for r in rows.collect()), key=str))
+    rows = docs.select("doc_id", F.col("text").alias("_text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "_text", "_lang")
+    sents = rows.mapInArrow(_sentences, "doc_id bigint, k bigint, words string, label string").orderBy(F.xxhash64("doc_id", "k"), "doc_id", "k", "words").limit(FIT_SENTENCES)
+    return fit_words(sorted(((r["words"], r["label"]) for r in sents.collect()), key=str))
 
 
 def detect(docs: DataFrame, codes: DataFrame) -> DataFrame:
@@ -250,7 +257,7 @@ def detect(docs: DataFrame, codes: DataFrame) -> DataFrame:
     headers, attachments and data lines. Null, empty and blank texts, and texts without full sentences, give no rows; nor does a row without
     an id. Rows with one id are judged one by one. Whole texts.
 
-    Script ranges narrow a word's candidates; word scores come from a bounded sample of labelled documents (FIT_DOCS, FIT_WORDS); Viterbi
+    Script ranges narrow a word's candidates; word scores come from a bounded sample of sentences of labelled documents (FIT_DOCS, FIT_SENTENCES); Viterbi
     over the words of a paragraph, with a penalty for switching, labels spans; a sentence has the label of most of its telling words.
     One narrow pass over the documents, no shuffle."""
     scores = _fitted(docs, codes)

@@ -18,15 +18,14 @@ BUSINESS = (
     "supplies materials products software medical restaurant services laundry storage distributors freight solutions security photography "
     "management systems international boulangerie menuiserie generale transports pharmacie plomberie electricite conseil batiment fromagerie "
     "imprimerie garage librairie agricole maconnerie patisserie metallerie cremerie societe etablissements epicerie hotel eyewear fitness "
-    "transfer money wash clean dry pizza coffee stop fuel express mart parcelgrid locker point electronics industries enterprises group "
-    "stores clinic salon tailors gym cafe"
+    "electronics industries enterprises group stores clinic salon tailors gym cafe cleaning cleaners"
 ).split()
 
 # Abbreviations that the subsequence rule cannot resolve alone.
 BUSINESS_ABBR = {
     "mfg": "manufacturing", "manuf": "manufacturing", "mgt": "management", "mgmt": "management", "eng": "engineering", "engg": "engineering",
     "engr": "engineering", "intl": "international", "int": "international", "elec": "electricals", "elect": "electricals", "sys": "systems",
-    "pt": "point", "rest": "restaurant", "restt": "restaurant", "jewelers": "jewellers", "bldg": "building", "med": "medical",
+    "rest": "restaurant", "restt": "restaurant", "jewelers": "jewellers", "bldg": "building", "med": "medical",
     "medl": "medical", "mat": "materials", "matls": "materials", "cons": "consulting", "const": "construction", "constr": "construction",
     "conslt": "consulting", "ins": "insurance", "insur": "insurance", "pharm": "pharmacy", "phcy": "pharmacy", "vet": "veterinary",
     "vety": "veterinary", "chem": "chemicals", "chems": "chemicals", "soln": "solutions", "solns": "solutions", "softw": "software",
@@ -37,7 +36,7 @@ BUSINESS_ABBR = {
     "boul": "boulangerie", "blgerie": "boulangerie", "epic": "epicerie", "crem": "cremerie", "tpts": "transports", "ets": "etablissements",
     "frt": "freight", "pkg": "packaging", "pckg": "packaging", "prtg": "printing", "printg": "printing", "bky": "bakery", "dentl": "dental",
     "mtrs": "motors", "trvls": "travels", "lndry": "laundry", "stge": "storage", "jwlrs": "jewellers", "landscpg": "landscaping",
-    "plmbg": "plumbing", "mac": "maconnerie", "agri": "agricole", "lockr": "locker",
+    "plmbg": "plumbing", "mac": "maconnerie", "agri": "agricole",
     "pharmacie": "pharmacy", "phie": "pharmacy", "conseil": "consulting", "electricite": "electricals", "elctr": "electricals",
     "ste": "societe", "imp": "imprimerie", "impr": "imprimerie", "from": "fromagerie", "from'": "fromagerie", "pat": "patisserie",
 }
@@ -49,8 +48,8 @@ GIVEN = {
     "alexander": "alex alec sandy xander", "mohammad": "mohd md mohammed muhammad mohamed mohamad", "chandrika": "chandra",
     "krishna": "kishan krish kishen krishnan", "subrahmanya": "subbu subramanya subramanian", "lakshmi": "laxmi luxmi",
     "patricia": "pat trish patty tricia", "venkatesh": "venky venkat venkatesan", "frederick": "fred fredk freddy frederic",
-    "theodore": "theo", "ted": "teddy", "charles": "charlie chas chuck", "joseph": "joe jos joey", "katherine": "kate kathy katie kathryn catherine",
-    "jennifer": "jen jenny", "thomas": "tom thos tommy", "rebecca": "becky becca", "samuel": "sam saml", "edward": "ed ned eddie edwd",
+    "theodore": "theo ted teddy", "charles": "charlie chas chuck", "joseph": "joe jos joey", "katherine": "kate kathy katie kathryn catherine",
+    "jennifer": "jen jenny", "thomas": "tom thos tommy", "rebecca": "becky becca", "samuel": "sam saml", "edward": "ed ned eddie edwd ted teddy",
     "michael": "mick mike mickey", "richard": "rich dick rick", "dominique": "dom", "jean": "", "pierre": "", "francois": "fr",
     "genevieve": "ginette", "james": "jim jas jimmy", "john": "jack jon", "george": "geo", "daniel": "dan danny", "matthew": "matt",
 }
@@ -92,7 +91,15 @@ DIRECTIONS = {"n": "north", "s": "south", "e": "east", "w": "west", "no": "no"}
 # Words of parts within or near a building, and how many following words belong to them.
 ORDINALS = {"1st": "first", "2nd": "second", "3rd": "third", "4th": "fourth", "5th": "fifth", "6th": "sixth", "7th": "seventh", "8th": "eighth", "9th": "ninth"}
 
-GIVEN_OF = {s: k for k, v in GIVEN.items() for s in [k, *v.split()]}
+#: Short form -> the given names that it may stand for.
+FULL_NAMES: dict[str, frozenset[str]] = {}
+for _k, _v in GIVEN.items():
+    for _s in [_k, *_v.split()]:
+        FULL_NAMES[_s] = FULL_NAMES.get(_s, frozenset()) | {_k}
+#: Short forms of given names that abbreviate a line of business too.
+BOTH = {s: BUSINESS_ABBR[s] for s in FULL_NAMES if s in BUSINESS_ABBR}
+#: A short form of one name alone is written as that name, any other stays.
+GIVEN_OF = {s: min(full) if len(full) == 1 and s not in BOTH else s for s, full in FULL_NAMES.items()}
 _BY_FIRST: dict[str, list[str]] = {}
 for _w in BUSINESS:
     _BY_FIRST.setdefault(_w[0], []).append(_w)
@@ -167,7 +174,9 @@ _VOWELS = set("aeiou")
 
 
 def business_of(tok: str) -> str:
-    """The line-of-business word that tok stands for, or ''."""
+    """The line-of-business word that tok stands for, or ''. A short form of a given name is left to `names.readings`."""
+    if tok in BOTH:
+        return ""
     if tok in BUSINESS_ABBR:
         return BUSINESS_ABBR[tok]
     if tok in BUSINESS_SET:

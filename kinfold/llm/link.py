@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,10 +21,10 @@ ACCEPT = 0.5
 #: Log odds of a candidate pair before its evidence; odds that a record has no partner, as its one-to-one factor weighs them.
 PRIOR, ALONE = -3.0, math.exp(-1.5)
 #: Log odds of two countries that differ; on the tables with known pairs none of 22,582 do, once their writings are told.
-ABROAD = -6.0
+ABROAD = -12.0
 #: Belief propagation: damping, change below which all is settled, rounds after which steps shrink.
-DAMP, SETTLED, FREE_ROUNDS = 0.25, 0.02, 20
-#: Rows a task remembers so that repeated deliveries are parsed once and copies are marked; those it forgets only cost time.
+DAMP, SETTLED, FREE_ROUNDS = 0.25, 0.05, 12
+#: Forms a task remembers so that copies are marked; those it forgets only cost time.
 SEEN_ROWS = 100_000
 #: The sieve of name keys: 64 bits a row, at most this many rows.
 SIEVE_ROWS = 1 << 18
@@ -49,6 +50,7 @@ def name_form(name: Name | None) -> str | None:
     return f"{name.given}|{' '.join(name.core)}|{' '.join(name.business)}|{name.joined if len(name.core) > 1 else ''}" if name else None
 
 
+@lru_cache(maxsize=50_000)
 def name_of(form: str | None) -> Name | None:
     if form is None:
         return None
@@ -58,14 +60,10 @@ def name_of(form: str | None) -> Name | None:
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Forms of name and address (an address without a house number is none). `fresh` marks the first row of its form in the task."""
-    seen: set = set()
     forms: set = set()
     for batch in batches:
         ids, names, addrs, countries, fresh = [], [], [], [], []
         for i, n, a, c in zip(*(col.to_pylist() for col in batch.columns)):
-            if (i, n, a, c) in seen:
-                continue
-            seen.add((i, n, a, c))
             address = parse_address(a)
             name, addr = name_form(parse_name(n)), "|".join(address) if address and address.house else None
             if name is None and addr is None:
@@ -77,8 +75,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             countries.append(c)
             fresh.append(form not in forms)
             forms.add(form)
-        if len(seen) > SEEN_ROWS:
-            seen.clear()
+        if len(forms) > SEEN_ROWS:
             forms.clear()
         s = pa.string()
         cols = [pa.array(ids, s), pa.array(names, s), pa.array(addrs, s), pa.array(countries, s), pa.array(fresh, pa.bool_())]
@@ -97,9 +94,10 @@ def _keys(records: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(F.size(core) > 0, F.xxhash64(F.lit(2), house, F.soundex(longest(core)))),
         F.xxhash64(F.lit(3), house, F.soundex(first(street)), F.soundex(first(town))),
     )
-    # a name without telling words has its initial in its only key
     joined = F.when(n[3] != "", n[3]).otherwise(n[1])
-    by_name = F.when((n[1] == "") & (F.length(n[0]) < 2), F.array(F.xxhash64(F.lit("i"), n[0], n[2]))).otherwise(name_keys(n[0], n[1], n[2], joined))
+    by_name = name_keys(n[0], n[1], n[2], joined)
+    # a name without telling words has one more key, of its initial
+    by_name = F.when(n[1] == "", F.concat(by_name, F.array(F.xxhash64(F.lit("i"), F.substring(n[0], 1, 1), n[2])))).otherwise(by_name)
     near = d.where("addr is not null").select("cls", F.explode(by_address).alias("kh")).where("kh is not null")
     named = d.where("name is not null").select("cls", "name", "country", house.alias("house"), F.explode(by_name).alias("kh"))
     return near, named
@@ -136,7 +134,7 @@ def loose(a: Name, b: Name) -> float:
     v = name_like(a, b)
     if v >= 0.8:
         return v
-    if given_like(a.given, b.given) == 0 and a.given and b.given:
+    if a.given and b.given and given_like(a.given, b.given) == 0:
         return 0.0
     sa, sb = set(a.business), set(b.business)
     if sa and sb and not sa & sb:
@@ -154,7 +152,7 @@ def loose(a: Name, b: Name) -> float:
 
 def evidence(na: Name | None, nb: Name | None, aa: Address | None, ab: Address | None) -> float | None:
     """What name and address add to the log odds that two records are one organisation at one building; None when they can't be."""
-    n = None if na is None or nb is None else loose(na, nb)
+    n = None if na is None or nb is None else 1.0 if na is nb and na.core else loose(na, nb)
     if n == 0.0:
         return None
     a = None if aa is None or ab is None else address_like(aa, ab)
@@ -235,7 +233,7 @@ def propagate(pairs: DataFrame) -> DataFrame:
 
     All pairs exchange messages in the first round. Those whose factors hear no other class get the same message in every round and are
     settled by it; the others go on, through aggregations and joins by record, until no message moves by more than SETTLED. Steps are
-    damped, and shrink by half every five rounds after FREE_ROUNDS, so the loop ends on every graph (messages are bounded)."""
+    damped, and shrink by half every three rounds after FREE_ROUNDS, so the loop ends on every graph (messages are bounded)."""
     spark = pairs.sparkSession
     shared_dir(spark)
     best = materialize(pairs.select("s", "t", "theta", "ls", "lt"), "pairs")
@@ -253,7 +251,7 @@ def propagate(pairs: DataFrame) -> DataFrame:
     rounds, moved = 0, None
     while loop is not None:
         rounds += 1
-        step = (1 - DAMP) * 0.5 ** (max(0, rounds - FREE_ROUNDS) / 5)
+        step = (1 - DAMP) * 0.5 ** (max(0, rounds - FREE_ROUNDS) / 3)
 
         def heard(me: str, other: str, own: str, back: str) -> DataFrame:
             """Per record and class of the other side, the message of the record's factor."""

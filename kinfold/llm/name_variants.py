@@ -4,17 +4,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import meet_within
+from ..operators.skew import join_split, meet_within, sampled
 from ..sources.scratch import materialize
 from .components import connected_components
-from .names import Name, block_keys, given_like, name_like, parse_name
+from .names import Name, compatible, name_like, parse_name
+from .phonetic import name_keys
 
 SAME = 0.85
-#: A word is common, so that two different common words are never writings of one another, from this many names on and from this share.
-COMMON_LEAST, COMMON_SHARE = 5, 2e-4
+#: A word of COMMON_SHARE of all names weighs 1 as a common word, a rarer one less in proportion; COMMON_SURE is how many names make a
+#: share half sure. Weights below COMMON_LEAST are left out.
+COMMON_SHARE, COMMON_SURE, COMMON_LEAST = 2e-4, 3, 0.3
 
 
 def key_of(n: Name) -> str:
@@ -26,23 +28,19 @@ def name_of(key: str) -> Name:
     return Name(given, tuple(core.split()), tuple(business.split()), joined)
 
 
+def keys_of(cls: Column) -> Column:
+    """Block keys of a canonical form."""
+    p = F.split(cls, "\\|")
+    return name_keys(p[0], p[1], p[2], p[3])
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = [key_of(n) if (n := parse_name(v)) is not None else None for v in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.string())], ["id", "name", "cls"])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        cls, keys = [], []
-        for c in batch.column(0).to_pylist():
-            for k in block_keys(name_of(c)):
-                cls.append(c)
-                keys.append(k)
-        yield pa.RecordBatch.from_arrays([pa.array(cls, pa.string()), pa.array(keys, pa.string())], ["cls", "key"])
-
-
-def _verify(common: frozenset):
+def _verify(common: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, s = [], [], []
@@ -59,11 +57,7 @@ def _verify(common: frozenset):
 
 def _compatible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = [
-            given_like(x.split("|", 1)[0], y.split("|", 1)[0]) > 0 and (not x.split("|")[2] or not y.split("|")[2] or x.split("|")[2] == y.split("|")[2]
-            or set(x.split("|")[2].split()) <= set(y.split("|")[2].split()) or set(y.split("|")[2].split()) <= set(x.split("|")[2].split()))
-            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-        ]
+        keep = [x == y or compatible(name_of(x), name_of(y)) for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
@@ -73,21 +67,24 @@ def parsed(df: DataFrame, ident: str, name: str) -> DataFrame:
     return materialize(rows.mapInArrow(_parse, "id string, name string, cls string").where("cls is not null"), "names")
 
 
-def common_words(classes: DataFrame) -> frozenset:
-    """Telling words in at least COMMON_LEAST classes and a share of COMMON_SHARE of them. A class has few words, so at most some
-    1/COMMON_SHARE of them times that number can come out: a bound that doesn't grow with the data."""
+def common_words(classes: DataFrame) -> dict[str, float]:
+    """Telling words and how common they are, 0 to 1: share of the classes over COMMON_SHARE (1 at most), times n / (n + COMMON_SURE).
+
+    Shares don't grow with the table. A class has few words, so at most their number over COMMON_LEAST * COMMON_SHARE come out: a bound
+    that doesn't grow with the data either."""
     words = classes.select(F.explode(F.array_distinct(F.split(F.split("cls", "\\|")[1], " "))).alias("w")).where("w <> ''")
-    total = classes.count()
-    least = max(COMMON_LEAST, int(total * COMMON_SHARE))
-    return frozenset(r["w"] for r in words.groupBy("w").count().where(F.col("count") >= least).select("w").collect())
+    total = classes.agg(F.count(F.lit(1)).alias("t"))
+    n = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(total))
+    weight = F.least(F.lit(1.0), F.col("n") / F.col("t") / COMMON_SHARE) * F.col("n") / (F.col("n") + COMMON_SURE)
+    return {r["w"]: r["c"] for r in n.select("w", weight.alias("c")).where(F.col("c") >= COMMON_LEAST).collect()}
 
 
 def class_links(records: DataFrame) -> DataFrame:
-    """(a, b, score): accepted pairs of different canonical forms. Blocks of phonetic codes of the sorted telling words, then
-    Jaro-Winkler with bounded edits, given names through the nickname table."""
+    """(a, b, score): accepted pairs of different canonical forms. Blocks of phonetic codes of the telling words (`phonetic.name_keys`),
+    then Jaro-Winkler of their words, given names through the nickname table."""
     classes = records.select("cls").distinct()
     common = common_words(classes)
-    keys = materialize(classes.mapInArrow(_blocks, "cls string, key string"), "name-keys")
+    keys = materialize(classes.select("cls", F.explode(F.array_distinct(keys_of(F.col("cls")))).alias("key")), "name-keys")
     # keys of one class alone make no pair
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = meet_within(keys.join(shared, "key"), "key", "n", ["cls"]).where("a_cls < b_cls")
@@ -122,5 +119,7 @@ def variant_pairs(df: DataFrame, ident: str = "entity_id", name: str = "business
     met = met.select(F.col("a_cls").alias("ca"), F.col("b_cls").alias("cb"), F.col("a_name").alias("na"), F.col("b_name").alias("nb"))
     met = met.mapInArrow(_compatible, "ca string, cb string, na string, nb string").select("na", "nb").distinct()
     ids = groups.select("id", "name").distinct()
-    out = met.join(ids.select(F.col("id").alias("ia"), F.col("name").alias("na")), "na").join(ids.select(F.col("id").alias("ib"), F.col("name").alias("nb")), "nb")
+    met = materialize(met, "name-pairs")
+    out = join_split(met, ids.select(F.col("id").alias("ia"), F.col("name").alias("na")), "na")
+    out = join_split(out, ids.select(F.col("id").alias("ib"), F.col("name").alias("nb")), "nb", look=[sampled(met)])
     return out.where("ia <> ib").select(F.least("ia", "ib").alias("entity_id_a"), F.greatest("ia", "ib").alias("entity_id_b")).distinct()

@@ -5,9 +5,8 @@ import re
 from functools import lru_cache
 from typing import NamedTuple
 
-from xxhash import xxh3_64_intdigest
-
-from .lexicon import DIGIT_AS_LETTER, GIVEN_OF, LEGAL, _DOTTED, business_of, given_of, plain, present, within
+from .addresses import canonical
+from .lexicon import BOTH, DIGIT_AS_LETTER, FULL_NAMES, GIVEN_OF, LEGAL, _DOTTED, business_of, given_of, plain, present, within
 
 _WORD = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-zà-ÿ]{2})(?=[A-ZÀ-Þ][a-zà-ÿ]{2})")
@@ -88,7 +87,13 @@ def _parse(raw: str) -> Name | None:
                 g = "" if core else g
             if b and not (g and not given):
                 biz.append(b)
+            elif g and g in BOTH and len(given) > 1:
+                biz.append(BOTH[g])
             elif g:
+                # beside another given name, a short form that abbreviates a line of business too is that
+                if given in BOTH:
+                    biz.append(BOTH[given])
+                    given = ""
                 given = given if len(given) > 1 else g
             else:
                 core.append(t)
@@ -101,53 +106,10 @@ def _parse(raw: str) -> Name | None:
         core = [t for t in toks if len(t) > 1] or toks
         if not core:
             return None
-    if not biz and given == "patricia" and "pat" in toks:
-        given, biz = "", ["patisserie"]
     joined = "".join(core)
     return Name(given, tuple(sorted(core)), tuple(sorted(set(biz))), joined)
 
 
-@lru_cache(maxsize=200_000)
-def soundex_like(tok: str) -> str:
-    """First letter, then classes of the consonants, repeats dropped; vowels and h, w, y carry nothing."""
-    out, last = tok[0], ""
-    for c in tok[1:]:
-        k = _CLASS.get(c, "")
-        if k and k != last:
-            out += k
-        if k or c not in "hw":
-            last = k
-    return out
-
-
-_CLASS = {c: k for k, cs in {"1": "bpfv", "2": "cgjkqsxz", "3": "dt", "4": "l", "5": "mn", "6": "r"}.items() for c in cs}
-
-
-def block_keys(n: Name) -> list[str]:
-    """Phonetic codes of the sorted telling words with the line of business: all, all but one, and halves of a lone word.
-
-    Two names of one organisation that differ by one damaged word, a reordering, a nickname or an abbreviation share a key."""
-    biz = "+".join(n.business)
-    words = n.core or ((n.given,) if len(n.given) > 1 else ())
-    if not words:
-        return [biz + "|"] if biz else []
-    codes = sorted(soundex_like(w) for w in words)
-    # a set of codes is keyed by the sum of their hashes: leaving one out takes one subtraction, however long the name
-    each = [xxh3_64_intdigest(c) for c in codes]
-    total = sum(each)
-    keys = {f"{biz}|{len(each)}:{total & _MASK:x}"}
-    if len(codes) > 1:
-        keys |= {f"{biz}|{len(each) - 1}:{(total - h) & _MASK:x}" for h in each}
-    j = n.joined
-    if len(codes) <= 2 and len(j) >= 6:
-        h = len(j) // 2
-        keys |= {biz + "|<" + j[: min(4, h)], biz + "|>" + j[-min(4, h) :], biz + "|=" + soundex_like(j)}
-    return sorted(keys)
-
-
-_MASK = (1 << 64) - 1
-
-
 def jaro_winkler(a: str, b: str) -> float:
     if a == b:
         return 1.0
@@ -175,34 +137,65 @@ def jaro_winkler(a: str, b: str) -> float:
     return s + p * 0.1 * (1 - s)
 
 
-def word_like(a: str, b: str, common: frozenset | set = frozenset()) -> float:
-    """How surely b is a writing of a, 0 to 1. Two different words that are both common in the corpus are two words."""
+#: Jaro-Winkler similarity from which two words may be writings of one.
+WORD = 0.8
+
+
+def word_like(a: str, b: str, common: dict[str, float] = {}) -> float:  # noqa: B006
+    """How surely b is a writing of a: their Jaro-Winkler similarity, 0 below WORD. Words of very different letters (more than one to
+    three edits, by length) are none, and an abbreviation of the tables stands for its word.
+
+    common: how common words are in the corpus, 0 to 1. Two different words that are both common are two words rather than one and its
+    typo, so the similarity is scaled by 1 - the product of the two weights."""
     if a == b:
         return 1.0
-    if a in common and b in common:
-        return 0.0
     n = min(len(a), len(b))
-    if n < 3:
+    if canonical(a) == canonical(b):
+        return 0.95
+    if n < 3 or not within(a, b, 1 if n < 6 else 2 if n < 12 else 3):
         return 0.0
-    if not within(a, b, 1 if n < 6 else 2 if n < 12 else 3):
-        return 0.0
-    return max(0.88, jaro_winkler(a, b))
+    j = jaro_winkler(a, b) * (1.0 - common.get(a, 0.0) * common.get(b, 0.0))
+    return j if j >= WORD else 0.0
 
 
 def given_like(a: str, b: str) -> float:
+    """1 for one given name, less for an initial, for short forms that may stand for one name, and for a typo; 0 for two names."""
     if a == b:
         return 1.0
     if not a or not b:
         return 0.0
     if len(a) == 1 or len(b) == 1:
         return 0.9 if a[0] == b[0] else 0.0
-    if "ted" in (a, b):
-        return 0.9 if {a, b} & {"edward", "theodore"} else 0.0
+    if FULL_NAMES.get(a, frozenset((a,))) & FULL_NAMES.get(b, frozenset((b,))):
+        return 0.9
     return 0.95 if within(a, b, 1) and min(len(a), len(b)) > 4 else 0.0
 
 
-def name_like(a: Name, b: Name, common: frozenset | set = frozenset()) -> float:
+def readings(n: Name) -> list[Name]:
+    """The name as parsed, and with its given name read as the line of business that it abbreviates too (`lexicon.BOTH`)."""
+    if n.given not in BOTH:
+        return [n]
+    return [n, n._replace(given="", business=tuple(sorted({*n.business, BOTH[n.given]})))]
+
+
+def compatible(a: Name, b: Name) -> bool:
+    """Whether given names and lines of business, as far as both names have them, don't exclude one another."""
+
+    def lines(x: Name, y: Name) -> bool:
+        p, q = set(x.business), set(y.business)
+        return not p or not q or p <= q or q <= p
+
+    return any(given_like(x.given, y.given) > 0 and lines(x, y) for x in readings(a) for y in readings(b))
+
+
+def name_like(a: Name, b: Name, common: dict[str, float] = {}) -> float:  # noqa: B006
     """0 to 1; at 0.85 and more two names are taken for one organisation."""
+    if a.given in BOTH or b.given in BOTH:
+        return max(_name_like(x, y, common) for x in readings(a) for y in readings(b))
+    return _name_like(a, b, common)
+
+
+def _name_like(a: Name, b: Name, common: dict[str, float]) -> float:
     if a.business != b.business:
         sa, sb = set(a.business), set(b.business)
         if sa and sb and not (sa <= sb or sb <= sa):
@@ -221,15 +214,13 @@ def name_like(a: Name, b: Name, common: frozenset | set = frozenset()) -> float:
         left, total, bad = list(b.core), 0.0, 0
         for w in a.core:
             best, at = max(((word_like(w, x, common), i) for i, x in enumerate(left)), default=(0.0, -1))
-            if best < 0.8:
+            if best < WORD:
                 bad = 1
                 break
             total += best
             left.pop(at)
         if not bad:
             return weight * g * total / len(a.core)
-    if len(a.joined) >= 5 and len(b.joined) >= 5:
-        w = word_like(a.joined, b.joined)
-        if w and (a.joined not in common or b.joined not in common) and len(a.core) != len(b.core):
-            return weight * g * w
+    if len(a.joined) >= 5 and len(b.joined) >= 5 and len(a.core) != len(b.core):
+        return weight * g * word_like(a.joined, b.joined, common)
     return 0.0

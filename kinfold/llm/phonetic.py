@@ -4,13 +4,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .lexicon import BOTH
+
 def code(word: Column) -> Column:
     """Soundex of a word from its front and from its back: of up to eight consonants each tells."""
     return F.concat(F.soundex(word), F.soundex(F.reverse(word)))
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, " "), lambda w: w != "")
+    """The words of a form, which holds single spaces only."""
+    return F.when(text != "", F.split(text, " ")).otherwise(F.array().cast("array<string>"))
 
 
 def longest(ws: Column) -> Column:
@@ -18,9 +21,17 @@ def longest(ws: Column) -> Column:
 
 
 def name_keys(given: Column, core: Column, business: Column, joined: Column) -> Column:
-    """Array of block keys (bigint, once each) of a name: its line of business with the phonetic codes of its telling words, all of them,
-    and all but one with the first letter of that one; for a name of one or two words also with the code of the words written as one, and
-    with its first and its last half in letters.
+    """Block keys of a name, of both its readings where its given name abbreviates a line of business too."""
+    other = F.create_map(*[F.lit(x) for kv in BOTH.items() for x in kv])
+    with_line = F.array_join(F.array_sort(F.array_distinct(F.concat(words(business), F.array(F.try_element_at(other, given))))), " ")
+    own = _keys(given, core, business, joined)
+    return F.when(given.isin(*BOTH), F.concat(own, _keys(F.lit(""), core, with_line, joined))).otherwise(own)
+
+
+def _keys(given: Column, core: Column, business: Column, joined: Column) -> Column:
+    """Array of block keys (bigint) of a name: its line of business with the phonetic codes of its telling words, all of them,
+    and all but one with the first letter of that one, and the words written as one; for a name of one or two words also with its first
+    and its last half in letters.
 
     A set of codes is keyed by the exclusive or of their hashes, so the order of words doesn't matter and leaving one out takes one step,
     however long the name. Names of one organisation that differ by a damaged word, by two words written as one, by order, by a nickname
@@ -38,15 +49,17 @@ def name_keys(given: Column, core: Column, business: Column, joined: Column) ->
     def halves(j: Column) -> Column:
         short, long = F.floor(F.length(j) / 2).cast("int"), F.ceil(F.length(j) / 2).cast("int")
         part = lambda tag, n: F.xxhash64(business, F.lit(tag), F.substring(j, F.lit(1), n) if tag == "<" else F.substring(j, -n, n))
-        return F.array(F.xxhash64(business, F.lit("="), code(j)), part("<", short), part("<", long), part(">", short), part(">", long))
+        return F.array(part("<", short), part("<", long), part(">", short), part(">", long))
 
     told = let(words(core), lambda t: F.when(F.size(t) > 0, t).when(F.length(given) > 1, F.array(given)).otherwise(F.array().cast("array<string>")))
     by_words = let(
         F.transform(told, lambda w: F.struct(F.xxhash64(code(w)).alias("h"), F.substring(w, 1, 1).alias("first"))),
         lambda each: let(F.aggregate(each, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(w["h"])), lambda whole: of_words(each, whole)),
     )
-    few = (F.length(joined) >= 6) & (F.length(core) - F.length(F.replace(core, F.lit(" "), F.lit(""))) <= 1)
-    return F.array_distinct(F.concat(by_words, F.when(few, let(joined, halves)).otherwise(no_keys)))
+    long = F.length(joined) >= 6
+    few = long & (F.length(core) - F.length(F.replace(core, F.lit(" "), F.lit(""))) <= 1)
+    one = F.when(long, F.array(F.xxhash64(business, F.lit("="), code(joined)))).otherwise(no_keys)
+    return F.concat(by_words, one, F.when(few, let(joined, halves)).otherwise(no_keys))
 
 
 def let(value: Column, body) -> Column:

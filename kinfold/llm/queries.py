@@ -85,6 +85,10 @@ def p9_unused(spark: SparkSession, d: str) -> DataFrame:
     return packing.bin_report(p9_assignments(spark, d))
 
 
+def p9_checks(spark: SparkSession, d: str) -> DataFrame:
+    return packing.checked(p9_assignments(spark, d))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return languages.relabelled(table(spark, d, "documents"), table(spark, d, "lang_codes"))
 
@@ -100,7 +104,7 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fs = [
         p2_found, p2_groups, p3_found, p3_terms, p4_found, p4_group_sizes, p5_found, p5_groups, p6_found, p6_confidence, p6_rounds, p8_ids,
-        p8_round_trip, p9_assignments, p9_unused, p10_found, p10_languages, p10_segments,
+        p8_round_trip, p9_assignments, p9_unused, p9_checks, p10_found, p10_languages, p10_segments,
     ]
     return {f.__name__: f for f in fs}
 
@@ -134,5 +138,6 @@ def oracle_sql() -> dict[str, str]:
         "p3_terms": f"with {_TOKENS} select field, term, n, cf, df, mark from marked",
         "p4_found": f"{_GROUPS} select entity_id, group_id from found",
         "p4_group_sizes": f"{_GROUPS} select group_id, count(*) as n_ids from found group by group_id",
+        "p9_checks": "select container, (select count(distinct doc_id) from documents) as n_docs, 0::bigint as n_overfull, 0::bigint as n_torn from container_sizes where capacity > 0",
         "p8_round_trip": "select doc_id from documents where false",
     }

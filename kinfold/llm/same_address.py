@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import meet_within
+from ..operators.skew import join_split, meet_within, sampled
 from ..sources.scratch import materialize
-from .addresses import Address, address_like, parse_address
+from .addresses import Address, address_like, canonical, parse_address
 
 SAME = 0.5
 #: MinHash: bands of ROWS hash values. Two sets of similarity s share a band with probability 1 - (1 - s**ROWS)**BANDS.
@@ -53,9 +53,9 @@ def with_towns(classes: DataFrame) -> DataFrame:
 
 
 def shingles(a: Address) -> list[str]:
-    """Tokens and padded 3-grams of the street, town and postcode."""
+    """Tokens and padded 3-grams of the street, town and postcode, abbreviations in full."""
     out = []
-    for w in (a.street + " " + a.town).split():
+    for w in map(canonical, (a.street + " " + a.town).split()):
         p = "^" + w + "$"
         out.append(w)
         out += [p[i : i + 3] for i in range(len(p) - 2)]
@@ -131,11 +131,14 @@ def same_building_pairs(df: DataFrame, ident: str = "entity_id", address: str =
     y = entries.select(F.col("cls").alias("b"), F.col("address").alias("wb"))
     several = entries.groupBy("cls").agg(F.count(F.lit(1)).alias("k")).where("k > 1 and cls not like '|%'").select("cls")
     own = several.select(F.col("cls").alias("a"), F.col("cls").alias("b"))
-    met = links.unionByName(own).join(x, "a").join(y, "b").where("wa <> wb and (a <> b or wa < wb)").select("wa", "wb").distinct()
+    # a building with many writings, or a writing of many records, is spread over tasks
+    linked = materialize(links.unionByName(own), "address-links")
+    some = sampled(linked)
+    met = join_split(join_split(linked, x, "a"), y, "b", look=[some.select("b"), sampled(y)])
+    met = materialize(met.where("wa <> wb and (a <> b or wa < wb)").select("wa", "wb").distinct(), "address-pairs")
     ids = records.select("id", "address").distinct()
-    out = met.join(ids.select(F.col("id").alias("ia"), F.col("address").alias("wa")), "wa").join(
-        ids.select(F.col("id").alias("ib"), F.col("address").alias("wb")), "wb"
-    )
+    out = join_split(met, ids.select(F.col("id").alias("ia"), F.col("address").alias("wa")), "wa")
+    out = join_split(out, ids.select(F.col("id").alias("ib"), F.col("address").alias("wb")), "wb", look=[sampled(met)])
     return out.where("ia <> ib").select(F.least("ia", "ib").alias("entity_id_a"), F.greatest("ia", "ib").alias("entity_id_b")).distinct()
 
 

@@ -161,7 +161,8 @@ def encode(df: DataFrame, doc: str = "doc_id", text: str = "text", ranks: str =
     blocks = materialize(blocks, "blocks")
     words = blocks.select("block", F.posexplode("words").alias("at", "word"))
     table = words.select("word").distinct().mapInArrow(_encode_words(ranks), "word string, ids binary")
-    per_block = words.join(table.hint("shuffle_hash"), "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("pairs"))
+    # a word has at most one row per block, and a block has tens of thousands of words, so no word holds a large share of the rows
+    per_block = words.join(table.hint("merge"), "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("pairs"))
     back = blocks.select("block", "docs", "lens", "seq").join(per_block, "block", "left").select("docs", "lens", "seq", "pairs")
     out = "doc_id bigint, n_tokens bigint" if counts_only else "doc_id bigint, ids array<int>"
     return back.mapInArrow(_join_back(ranks, counts_only), out)

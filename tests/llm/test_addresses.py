@@ -1,6 +1,7 @@
 import pytest
 
-from kinfold.llm.addresses import address_like, align, parse_address
+from kinfold.llm import addresses
+from kinfold.llm.addresses import address_like, align, parse_address, words_like
 from kinfold.llm.same_address import address_groups, same_building_pairs
 
 SAME = [
@@ -9,6 +10,10 @@ SAME = [
     ("17/5, Tolwum Road, Keamsidnagar, Kerala - 387373", "17/5, TOLWUM RD - FLAT NO 303 - KL - KEAMSIDNAGAR PIN 387 373"),
     ("142 avenue Beamean, 43562 Lovmiv-le-Bas", "Nº 142 av. Beamean / RDC / F-43562 Lovmiv-le-Bas"),
     ("15-1-222, Telran Nagar, Daidvampur, Kerala - 154752", "15-1-222 Telran Ngr, Behind Lotus Talkies, Daidvampur"),
+    ("12 Mt Vernon, Springfield", "12 Mount Vernon, Springfield"),
+    ("5 Ldg, 12345", "5 Lodge, 12345"),
+    ("8 Lakeview Drive, Rudkeasfield, AZ 39753", "8 Lake View Dr, Rudkeasfield"),
+    ("7 Casino Street, Rudkeasfield, AZ 39753", "7 Casno St, Rudkeasfield"),
 ]
 OTHER = [
     ("8 Elm Avenue, Rudkeasfield, AZ 39753", "9 Elm Avenue, Rudkeasfield, AZ 39753"),
@@ -16,6 +21,7 @@ OTHER = [
     ("8 Elm Avenue, Rudkeasfield, AZ 39753", "8 Oak Avenue, Rudkeasfield, AZ 39753"),
     ("8 Elm Avenue, Rudkeasfield, AZ 39753", "8 Elm Avenue, Vumtom Falls, MN 11111"),
     ("8 North Elm Avenue, Rudkeasfield, AZ 39753", "8 South Elm Avenue, Rudkeasfield, AZ 39753"),
+    ("8 Oak Avenue, Rudkeasfield, AZ 39753", "8 Oakland Avenue, Rudkeasfield, AZ 39753"),
 ]
 
 
@@ -36,6 +42,22 @@ def test_alignment_opens_gaps_dearly():
     assert align(["road"], ["rd"]) < align(["road"], ["street"])
 
 
+def test_long_runs_of_words_are_aligned():
+    words = [f"w{i}x{i * 7}" for i in range(201)]
+    assert words_like(" ".join(words), " ".join(reversed(words))) < 0.3
+    damaged = words[:50] + ["zzzzzz"] + words[51:150] + words[152:]
+    assert 0.98 < words_like(" ".join(words), " ".join(damaged)) < 1
+
+
+def test_the_band_changes_no_cost():
+    import random
+
+    rnd = random.Random(3)
+    for _ in range(60):
+        x, y = ([rnd.choice(["aa", "bb", "cc", "dd", "aabb"]) for _ in range(rnd.randrange(1, 40))] for _ in range(2))
+        assert abs(align(x, y) - addresses._banded(x, y, 10**6)) < 1e-9
+
+
 SCHEMA = "entity_id string, business_address string, id string, address string, cls string, key int"
 
 

@@ -34,6 +34,14 @@ def test_repeated_rows_and_very_long(spark):
     assert found == [(1, "en"), (2, "de")]
 
 
+def test_words_behind_long_headers_are_learned(spark):
+    """The fit reads whole texts: what stands behind 7,000 characters teaches words too."""
+    long = "Received: from x\n" * 450 + "\n" + "Qibblewort zanduvia mirfolex prindolan. " * 20
+    d = spark.createDataFrame([(i, long, "fr") for i in range(5)] + [(9, EN, "en")], "doc_id bigint, text string, lang string")
+    scores = languages._fitted(d, spark.createDataFrame(CODES, "label string, lang string"))
+    assert scores["qibblewort"][languages.LANGS.index("fr")] == 0
+
+
 def test_empty(spark):
     assert run(spark, [])[0] == []
 

@@ -29,7 +29,6 @@ def check(out, sizes, kinds):
 
 def test_whole_split_and_tight(spark, monkeypatch):
     monkeypatch.setattr(packing, "ITEMS_PER_GROUP", 50)
-    monkeypatch.setattr(packing, "CARRY", 20)
     rnd = random.Random(5)
     sizes = [(i, rnd.choice([0, 1, 5, 17, 33, 60, 100, 101, 250, 512, None])) for i in range(900)] + [(3, 7), (None, 9)]
     kinds = [("small", 100), ("large", 400)]
@@ -38,6 +37,21 @@ def test_whole_split_and_tight(spark, monkeypatch):
     assert bins["small"] <= total / 100 * 1.12 and bins["large"] <= total / 400 * 1.03
 
 
+def test_three_levels_leave_little_unused(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS_PER_GROUP", 40)
+    rnd = random.Random(7)
+    sizes = [(i, int(rnd.lognormvariate(4.5, 0.8)) + 1) for i in range(4000)]
+    bins = check(run(spark, sizes, [("c", 1000)]), sizes, [("c", 1000)])
+    assert bins["c"] <= -(-sum(n for _, n in sizes) // 1000) * 1.03
+
+
+def test_items_over_half_end_and_none_is_emitted_early(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS_PER_GROUP", 20)
+    sizes = [(i, 51 + i % 40) for i in range(500)] + [(1000 + i, 10) for i in range(500)]
+    bins = check(run(spark, sizes, [("c", 100)]), sizes, [("c", 100)])
+    assert bins["c"] <= 515
+
+
 def test_equal_runs_are_equal(spark):
     sizes = [(i, 30) for i in range(40)]
     assert sorted(map(tuple, run(spark, sizes, [("c", 100)]))) == sorted(map(tuple, run(spark, sizes[::-1], [("c", 100)])))
