@@ -85,21 +85,25 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _keys(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cls, kh) by address and (cls, name, country, house, kh) by name, of each form; house is null where it has no address."""
     d = records.where("fresh")
-    a, n = F.split("addr", "\\|"), F.split("name", "\\|")
-    house, street, post, town = a[0], a[1], a[3], a[4]
-    core = words(n[1])
+    at = F.split("addr", "\\|")
+    near = d.where("addr is not null").select("cls", at.alias("a"), F.split("name", "\\|")[1].alias("core"))
+    near = near.select("cls", *[F.col("a")[i].alias(n) for i, n in ((0, "house"), (1, "street"), (3, "post"), (4, "town"))], F.coalesce("core", F.lit("")).alias("core"))
     first = lambda c: F.substring_index(c, " ", 1)
+    lone = F.instr("core", " ") == 0
     by_address = F.array(
-        F.when(post != "", F.xxhash64(F.lit(1), house, post)),
-        F.when(F.size(core) > 0, F.xxhash64(F.lit(2), house, F.soundex(longest(core)))),
-        F.xxhash64(F.lit(3), house, F.soundex(first(street)), F.soundex(first(town))),
+        F.when(F.col("post") != "", F.xxhash64(F.lit(1), "house", "post")),
+        F.when(F.col("core") != "", F.xxhash64(F.lit(2), "house", F.soundex(F.when(lone, F.col("core")).otherwise(longest(words(F.col("core"))))))),
+        F.xxhash64(F.lit(3), "house", F.soundex(first("street")), F.soundex(first("town"))),
     )
-    joined = F.when(n[3] != "", n[3]).otherwise(n[1])
-    by_name = name_keys(n[0], n[1], n[2], joined)
+    near = near.select("cls", F.explode(by_address).alias("kh")).where("kh is not null")
+    parts = ("given", "core", "business", "joined")
+    named = d.where("name is not null").select("cls", "name", "country", at[0].alias("house"), F.split("name", "\\|").alias("n"))
+    named = named.select("cls", "name", "country", "house", *[F.col("n")[i].alias(p) for i, p in enumerate(parts)])
+    named = named.withColumn("joined", F.when(F.col("joined") != "", F.col("joined")).otherwise(F.col("core")))
+    by_name = name_keys(*map(F.col, parts))
     # a name without telling words has one more key, of its initial
-    by_name = F.when(n[1] == "", F.concat(by_name, F.array(F.xxhash64(F.lit("i"), F.substring(n[0], 1, 1), n[2])))).otherwise(by_name)
-    near = d.where("addr is not null").select("cls", F.explode(by_address).alias("kh")).where("kh is not null")
-    named = d.where("name is not null").select("cls", "name", "country", house.alias("house"), F.explode(by_name).alias("kh"))
+    by_name = F.when(F.col("core") == "", F.concat(by_name, F.array(F.xxhash64(F.lit("i"), F.substring("given", 1, 1), "business")))).otherwise(by_name)
+    named = named.select("cls", "name", "country", "house", F.explode(by_name).alias("kh"))
     return near, named
 
 
@@ -116,6 +120,17 @@ def _sifted(keys: DataFrame, sieve: DataFrame) -> DataFrame:
     return hit.where(F.expr(f"getbit(_bits, cast(pmod(kh, {64 * SIEVE_ROWS}) & 63 as int)) = 1")).drop("_word", "_bits")
 
 
+def _clear(bare: DataFrame, full: DataFrame) -> DataFrame:
+    """Of the forms without an address, those whose very name (and country) isn't at two house numbers of the other side. To the others two
+    rivals of equal odds are known, so no candidate of theirs can reach ACCEPT (see `_told`): they have none."""
+    key = F.xxhash64(F.lit("x"), "name", F.coalesce("country", F.lit(""))).alias("kh")
+    own = bare.select("cls", key)
+    there = _sifted(full.select(key, F.split("addr", "\\|")[0].alias("house")), _sieve(own))
+    several = there.groupBy("kh").agg(F.min("house").alias("x"), F.max("house").alias("y")).where("x <> y").select("kh")
+    gone = own.join(several, "kh", "left_semi").select("cls")
+    return bare.join(gone, "cls", "left_anti")
+
+
 def _told(keys: DataFrame) -> DataFrame:
     """(cls, kh) of forms with an address for the forms without one that share kh: all forms of a name and country that is at one house
     number, and two at different ones of any that is at several.
@@ -206,9 +221,11 @@ def candidates(refs: DataFrame, targets: DataFrame) -> DataFrame:
     """(s, t, ls, lt, theta): pairs of forms that share a block and aren't excluded, once each, with the class of each in the one-to-one
     factor of the other and the log odds of their evidence."""
     yes, no = F.lit(True).alias("open"), F.lit(False).alias("open")
+    named = [d.where("fresh and name is not null") for d in (refs, targets)]
+    kept = [materialize(_clear(named[i].where("addr is null"), named[1 - i].where("addr is not null")), "bare") for i in (0, 1)]
     sides = [[*_keys(d)] for d in (refs, targets)]
     # a form without an address meets by name; of the others only those keys move that such a form of the other side may have
-    bare = [named.where("house is null") for _, named in sides]
+    bare = [_keys(d)[1] for d in kept]
     full = [_told(materialize(_sifted(sides[i][1].where("house is not null"), _sieve(bare[1 - i])), "named")) for i in (0, 1)]
     near = [d.unionByName(k.select("cls", "kh")).select("cls", "kh", yes).unionByName(f.select("cls", "kh", no)) for (d, _), k, f in zip(sides, bare, full)]
     left, right = near[0].withColumnsRenamed({"cls": "s", "open": "_a"}), near[1].withColumnsRenamed({"cls": "t", "open": "_b"})

@@ -8,10 +8,8 @@ from typing import NamedTuple
 from .addresses import canonical
 from .lexicon import BOTH, DIGIT_AS_LETTER, FULL_NAMES, GIVEN_OF, LEGAL, _DOTTED, business_of, given_of, plain, present, within
 
-_WORD = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-zà-ÿ]{2})(?=[A-ZÀ-Þ][a-zà-ÿ]{2})")
 _APOS = re.compile(r"(?<=[a-z])['’](?=[a-z])")
-_HYPHEN = re.compile(r"(?<=[a-z]) ?- ?(?=[a-z])")
 _P_LTD = re.compile(r" p\.? (?=l(?:i?mi)?t(?:e?d)?\b)")
 _PAREN = re.compile(r"\((?:india|us|u\.s\.|usa|france|fr|main|hq)\)")
 
@@ -23,8 +21,12 @@ class Name(NamedTuple):
     joined: str  # telling words in order of writing, without spaces
 
 
+_KEPT = bytes(c if c < 128 and chr(c).isalnum() else 32 for c in range(256))
+
+
 def tokens_of(raw: str) -> list[str]:
-    raw = _CAMEL.sub(" ", raw)
+    if not (raw.islower() or raw.isupper()):
+        raw = _CAMEL.sub(" ", raw)
     s = plain(raw)
     if "(" in s:
         s = _PAREN.sub(" ", s).replace("(p)", " ")
@@ -36,7 +38,7 @@ def tokens_of(raw: str) -> list[str]:
         s = s.replace("m/s", " ")
     if "'" in s or "’" in s:
         s = _APOS.sub("", s)
-    return _WORD.findall(s)
+    return s.encode().translate(_KEPT).decode().split()
 
 
 def parse_name(raw: str | None) -> Name | None:

@@ -46,20 +46,22 @@ def _keys(given: Column, core: Column, business: Column, joined: Column) -> Colu
         alone = F.when(business != "", F.array(key(F.lit(0), F.lit(0).cast("long")))).otherwise(no_keys)
         return F.when(n > 0, F.concat(F.array(key(n, whole)), without)).otherwise(alone)
 
-    def halves(j: Column) -> Column:
-        short, long = F.floor(F.length(j) / 2).cast("int"), F.ceil(F.length(j) / 2).cast("int")
-        part = lambda tag, n: F.xxhash64(business, F.lit(tag), F.substring(j, F.lit(1), n) if tag == "<" else F.substring(j, -n, n))
-        return F.array(part("<", short), part("<", long), part(">", short), part(">", long))
-
+    short, long = F.floor(F.length(joined) / 2).cast("int"), F.ceil(F.length(joined) / 2).cast("int")
+    front = lambda n: F.xxhash64(business, F.lit("<"), F.substring(joined, F.lit(1), n))
+    back = lambda n: F.xxhash64(business, F.lit(">"), F.substring(joined, -n, n))
+    one = F.xxhash64(business, F.lit("="), code(joined))
     told = let(words(core), lambda t: F.when(F.size(t) > 0, t).when(F.length(given) > 1, F.array(given)).otherwise(F.array().cast("array<string>")))
     by_words = let(
         F.transform(told, lambda w: F.struct(F.xxhash64(code(w)).alias("h"), F.substring(w, 1, 1).alias("first"))),
         lambda each: let(F.aggregate(each, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(w["h"])), lambda whole: of_words(each, whole)),
     )
-    long = F.length(joined) >= 6
-    few = long & (F.length(core) - F.length(F.replace(core, F.lit(" "), F.lit(""))) <= 1)
-    one = F.when(long, F.array(F.xxhash64(business, F.lit("="), code(joined)))).otherwise(no_keys)
-    return F.concat(by_words, one, F.when(few, let(joined, halves)).otherwise(no_keys))
+    # the only word is the name written as one; most names are such, and cheap
+    gaps = F.length(core) - F.length(F.replace(core, F.lit(" "), F.lit("")))
+    halves = F.when(F.length(joined) >= 6, F.array(front(short), front(long), back(short), back(long))).otherwise(no_keys)
+    return (
+        F.when((core != "") & (gaps == 0), F.concat(F.array(one), halves)).when(gaps == 1, F.concat(by_words, F.array(one), halves))
+        .when(gaps > 1, F.concat(by_words, F.array(one))).otherwise(by_words)
+    )
 
 
 def let(value: Column, body) -> Column:

@@ -109,7 +109,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(cols, schema)], schema=schema)
 
 
-def ngram_counts(df: DataFrame, fields: list[str], sigma: int = 2, salt: int = 8) -> DataFrame:
+def ngram_counts(df: DataFrame, fields: list[str], sigma: int = 2, salt: int | None = None) -> DataFrame:
     """(field, term, n, cf, df): for every term of 1 to sigma tokens, its occurrences cf and the rows df that hold it.
 
     Tokens are runs of a-z and 0-9 of the lower-cased value; null, blank, NA, N/A, null and None values have none; a token never spans
@@ -117,7 +117,8 @@ def ngram_counts(df: DataFrame, fields: list[str], sigma: int = 2, salt: int = 8
 
     Suffix-sorted counting: each task folds the suffixes, truncated to sigma tokens, of its rows into a hash table bounded by
     TABLE_ENTRIES and spills mergeable states; equal suffixes merge again map-side; suffixes are routed by their first term, sorted in
-    descending order, and one stack per task adds up all prefixes. A hot first term is split by its second token into `salt` routes;
+    descending order, and one stack per task adds up all prefixes. A hot first term is split by its second token into `salt` routes (as many as
+    shuffle partitions, if not given);
     what a route has of a shorter prefix is a partial count, and a last aggregation by term adds the few partial counts up."""
     spark = df.sparkSession
     states = df.select(*fields).mapInArrow(
@@ -127,6 +128,7 @@ def ngram_counts(df: DataFrame, fields: list[str], sigma: int = 2, salt: int = 8
     merged = states.groupBy("field", "suffix").agg(*sums)
     first = F.substring_index("suffix", " ", 1)
     second = F.substring_index(F.substring_index("suffix", " ", 2), " ", -1)
+    salt = salt or default_parallelism(spark)
     routed = merged.repartition(default_parallelism(spark), F.col("field"), first, F.pmod(F.xxhash64(second), F.lit(salt)))
     # token-wise order: a space sorts before all token characters
     ordered = routed.sortWithinPartitions(F.desc("field"), F.desc("suffix"))
