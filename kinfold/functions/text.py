@@ -10,16 +10,17 @@ NA_LITERALS = [
     "n/a", "nan", "null",
 ]
 # The long stop list, of candidate retrieval.
-STOP55 = (
-    "the and for inc incorporated llc ltd limited corp corporation company co pvt private public plc llp group services service solutions "
-    "industries industry enterprise enterprises international global health healthcare medical medicine hospital clinic care center centre "
-    "road rd street st avenue ave lane ln building block floor sector district city state india united states usa"
-).split()
+STOP55 = [
+    "the", "and", "for", "inc", "incorporated", "llc", "ltd", "limited", "corp", "corporation", "company", "co", "pvt", "private", "public", "plc",
+    "llp", "group", "services", "service", "solutions", "industries", "industry", "enterprise", "enterprises", "international", "global", "health",
+    "healthcare", "medical", "medicine", "hospital", "clinic", "care", "center", "centre", "road", "rd", "street", "st", "avenue", "ave", "lane",
+    "ln", "building", "block", "floor", "sector", "district", "city", "state", "india", "united", "states", "usa",
+]
 # The short stop list, of recall analyses.
-STOP30 = (
-    "the and of for in on at to a an limited ltd llp inc incorporated corp corporation company co private pvt plc group center centre clinic "
-    "services service health medical"
-).split()
+STOP30 = [
+    "the", "and", "of", "for", "in", "on", "at", "to", "a", "an", "limited", "ltd", "llp", "inc", "incorporated", "corp", "corporation", "company",
+    "co", "private", "pvt", "plc", "group", "center", "centre", "clinic", "services", "service", "health", "medical",
+]
 
 
 def na_to_null(c: Column) -> Column:

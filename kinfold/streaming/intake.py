@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.entities import prepare
 from ..sources.io import ENTITY
+from ..sources.scratch import materialize
 
 
 def arriving(spark: SparkSession, folder: str, files_per_batch: int = 10) -> DataFrame:
@@ -15,8 +16,9 @@ def arriving(spark: SparkSession, folder: str, files_per_batch: int = 10) -> Dat
 
 def match_arriving(stream: DataFrame, reference: DataFrame, out: str, state: str):
     """Starts a query that appends (s, t) of exact-name matches to Parquet, batch by batch, and ends when no file is left. A batch that is
-    repeated after a failure overwrites its own folder."""
-    left = prepare(reference).where("name_norm <> ''").select(F.col("entity_id").alias("s"), "name_norm", "country")
+    repeated after a failure overwrites its own folder. The reference is normalized and written once; a batch reads its name and country
+    columns, and is broadcast to it where its measured size allows that."""
+    left = materialize(prepare(reference).where("name_norm <> ''").select(F.col("entity_id").alias("s"), "name_norm", "country"), "reference")
 
     def one(batch: DataFrame, number: int) -> None:
         right = prepare(batch).where("name_norm <> ''").select(F.col("entity_id").alias("t"), "name_norm", "country")

@@ -34,3 +34,12 @@ def test_checkpoint_is_reused(spark, tmp_path):
 def test_scratch_follows_the_session(spark, tmp_path):
     assert scratch.shared_dir(spark)
     assert scratch.materialize(spark.range(4), "t").count() == 4
+
+
+def test_scratch_must_be_shared_off_local_mode():
+    from types import SimpleNamespace as N
+
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        session = N(conf=N(get=lambda *_: None), sparkContext=N(master=master, getCheckpointDir=lambda: None))
+        with pytest.raises(RuntimeError):
+            scratch.shared_dir(session)
