@@ -31,7 +31,7 @@ def name_of(key: str) -> Name:
 def keys_of(cls: Column) -> Column:
     """Block keys of a canonical form."""
     p = F.split(cls, "\\|")
-    return name_keys(p[0], p[1], p[2], p[3])
+    return name_keys(p[0], p[1], p[2], p[3], wide=True)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

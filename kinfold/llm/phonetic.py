@@ -20,11 +20,17 @@ def longest(ws: Column) -> Column:
     return F.aggregate(ws, F.lit(""), lambda acc, w: F.when(F.length(w) > F.length(acc), w).otherwise(acc))
 
 
-def name_keys(given: Column, core: Column, business: Column, joined: Column) -> Column:
-    """Block keys of a name, of both its readings where its given name abbreviates a line of business too."""
+def name_keys(given: Column, core: Column, business: Column, joined: Column, wide: bool = False) -> Column:
+    """Block keys of a name, of both its readings where its given name abbreviates a line of business too. `wide` adds keys of four letters
+    at one end with the letter at the other, for short names with damage in both halves."""
     other = F.create_map(*[F.lit(x) for kv in BOTH.items() for x in kv])
     with_line = F.array_join(F.array_sort(F.array_distinct(F.concat(words(business), F.array(F.try_element_at(other, given))))), " ")
     own = _keys(given, core, business, joined)
+    if wide:
+        ends = F.array(
+            F.xxhash64(business, F.lit("<4"), F.substring(joined, 1, 4), F.substring(joined, -1, 1)), F.xxhash64(business, F.lit("4>"), F.substring(joined, -4, 4), F.substring(joined, 1, 1))
+        )
+        own = F.when((F.length(joined) >= 6) & (F.length(core) - F.length(F.replace(core, F.lit(" "), F.lit(""))) <= 1), F.concat(own, ends)).otherwise(own)
     return F.when(given.isin(*BOTH), F.concat(own, _keys(F.lit(""), core, with_line, joined))).otherwise(own)
 
 
