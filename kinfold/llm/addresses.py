@@ -222,31 +222,44 @@ def align(xs: list[str], ys: list[str], limit: float = float("inf")) -> float:
 
 
 def _banded(xs: list[str], ys: list[str], band: int) -> float:
+    """The cost within the band: a row holds the cells of columns i - band to i + band only, with one cell of padding on either side."""
     inf = 1e9
     m = len(ys)
-    width = m + 1
-    M, X, Y = [0.0] + [inf] * m, [inf] * width, [inf] + [OPEN + EXTEND * j for j in range(m)]
-    before: list[float] | None = None  # best of the row before the last, for two words of xs that are one of ys
-    best = [min(a, b, c) for a, b, c in zip(M, X, Y)]
+    lo = 0
+    hi = min(m, band)
+    pad = [inf]
+    M = pad + [0.0] + [inf] * hi + pad
+    X = [inf] * (hi + 3)
+    Y = pad + [inf] + [OPEN + EXTEND * j for j in range(hi)] + pad
+    best = [min(c) for c in zip(M, X, Y)]
+    before, before_lo = None, 0
     for i, x in enumerate(xs, 1):
-        M2, X2, Y2 = [inf] * width, [inf] * width, [inf] * width
-        X2[0] = OPEN + EXTEND * (i - 1)
-        lo, hi = max(1, i - band), min(m, i + band)
+        up_lo, up_M, up_X, up = lo, M, X, best
+        lo, hi = max(0, i - band), min(m, i + band)
+        M, X, Y = [inf] * (hi - lo + 3), [inf] * (hi - lo + 3), [inf] * (hi - lo + 3)
         two = xs[i - 2] + x if i > 1 else ""
+        last = len(up) - 1
         for j in range(lo, hi + 1):
+            k = j - lo + 1
+            u = j - up_lo + 1  # the same column one row up
+            if j == 0:
+                X[k] = OPEN + EXTEND * (i - 1)
+                continue
             y = ys[j - 1]
-            v = best[j - 1] + substitute(x, y)
-            if before is not None and before[j - 1] < v:
-                v = min(v, before[j - 1] + JOIN + substitute(two, y))
-            if j > 1 and best[j - 2] < v:
-                v = min(v, best[j - 2] + JOIN + substitute(x, ys[j - 2] + y))
-            M2[j] = v
-            X2[j] = min(M[j] + OPEN, X[j] + EXTEND)
-            Y2[j] = min(M2[j - 1] + OPEN, Y2[j - 1] + EXTEND)
-        before = best
-        M, X, Y = M2, X2, Y2
-        best = [min(a, b, c) for a, b, c in zip(M, X, Y)]
-    return best[m]
+            v = up[u - 1] + substitute(x, y) if u - 1 <= last else inf
+            if before is not None:
+                w = j - before_lo
+                if w < len(before) and before[w] < v:
+                    v = min(v, before[w] + JOIN + substitute(two, y))
+            if j > 1 and u - 2 >= 0 and u - 2 <= last and up[u - 2] < v:
+                v = min(v, up[u - 2] + JOIN + substitute(x, ys[j - 2] + y))
+            M[k] = v
+            if u <= last:
+                X[k] = min(up_M[u] + OPEN, up_X[u] + EXTEND)
+            Y[k] = min(M[k - 1] + OPEN, Y[k - 1] + EXTEND)
+        before, before_lo = up, up_lo
+        best = [min(c) for c in zip(M, X, Y)]
+    return best[m - lo + 1] if lo <= m <= hi else inf
 
 
 @lru_cache(maxsize=100_000)
