@@ -250,9 +250,9 @@ def _banded(xs: list[str], ys: list[str], band: int) -> float:
             if before is not None:
                 w = j - before_lo
                 if w < len(before) and before[w] < v:
-                    v = min(v, before[w] + JOIN + substitute(two, y))
+                    v = min(v, before[w] + _as_one(two, y))
             if j > 1 and u - 2 >= 0 and u - 2 <= last and up[u - 2] < v:
-                v = min(v, up[u - 2] + JOIN + substitute(x, ys[j - 2] + y))
+                v = min(v, up[u - 2] + _as_one(x, ys[j - 2] + y))
             M[k] = v
             if u <= last:
                 X[k] = min(up_M[u] + OPEN, up_X[u] + EXTEND)
@@ -277,6 +277,12 @@ def substitute(x: str, y: str) -> float:
     return OTHER
 
 
+def _as_one(x: str, y: str) -> float:
+    """Cost of a word for two neighbours written as one, which may hold a typo but not be cut."""
+    c = substitute(x, y)
+    return JOIN + c if c <= 0.1 else OTHER + OPEN
+
+
 def canonical(word: str) -> str:
     """The full form of an abbreviation of a kind of street or of a word in street and town names."""
     return STREET_TYPE.get(word) or PLACE_WORD.get(word, word)
