@@ -92,7 +92,7 @@ def _keys(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     lone = F.instr("core", " ") == 0
     by_address = F.array(
         F.when(F.col("post") != "", F.xxhash64(F.lit(1), "house", "post")),
-        F.when(F.col("core") != "", F.xxhash64(F.lit(2), "house", F.soundex(F.when(lone, F.col("core")).otherwise(longest(words(F.col("core"))))))),
+        F.when(F.col("core") != "", F.xxhash64(F.lit(2), "house", F.substring("street", 1, 1), F.soundex(F.when(lone, F.col("core")).otherwise(longest(words(F.col("core"))))))),
         F.xxhash64(F.lit(3), "house", F.soundex(first("street")), F.soundex(first("town"))),
     )
     near = near.select("cls", F.explode(by_address).alias("kh")).where("kh is not null")
@@ -315,8 +315,8 @@ def match(
     best of them; other columns are ignored. An empty side: no rows. Every pair that shares a block is judged; no block is cut.
 
     Rows are parsed once; records of equal forms are one node from then on, told by a 64-bit hash of the forms, and are attached again at
-    the end. Blocks by address: house number with postcode, with the longest telling word's phonetic code, with the codes of street and
-    town. A record without an address meets those that share a phonetic key of the name (`phonetic.name_keys`); where one name is at several
+    the end. Blocks by address: house number with postcode, with the street's first letter and the longest telling word's phonetic code,
+    with the codes of street and town. A record without an address meets those that share a phonetic key of the name (`phonetic.name_keys`); where one name is at several
     house numbers, two of its forms stand for all in that (`_told`), which changes no decision at ACCEPT. Pairs become variables of
     `propagate`, whose marginals are reported. Hot blocks, nodes and forms are split."""
     judged, refs, tgts = _judged(ref, targets, ident, name, address, country)
