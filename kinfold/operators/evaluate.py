@@ -207,9 +207,9 @@ def recall_at(ranked: DataFrame, truth: DataFrame, ks: list[int]) -> DataFrame:
     )
 
 
-def run_totals(s1: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(n_references, n_pairs, mean, max, n_empty) of a candidate table; references without candidates are in the mean."""
-    n = pairs.groupBy("s").agg(F.count(F.lit(1)).alias("k"))
+def run_totals(s1: DataFrame, counts: DataFrame) -> DataFrame:
+    """(n_references, n_pairs, mean, max, n_empty) of a candidate table, given as (s, n_kept); references without candidates are in the mean."""
+    n = counts.select("s", F.col("n_kept").alias("k"))
     j = s1.select(F.col("entity_id").alias("s")).distinct().join(n, "s", "left").select(F.coalesce("k", F.lit(0)).alias("k"))
     return j.agg(
         F.count(F.lit(1)).alias("n_references"), F.sum("k").alias("n_pairs"), F.round(F.avg("k"), 4).alias("mean"), F.max("k").alias("max"),
