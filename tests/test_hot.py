@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold.functions import text as X
 from kinfold.operators import blocking, entities, evaluate, hot, scoring
 
 SCHEMA = "entity_id string, business_name string, business_address string, country string"
@@ -76,3 +77,10 @@ def test_halves_round_as_in_spark(spark):
     values = [1 / 3, 30.15625, 2.00005, 118.33335, 1e6 + 0.00005, 12.3]
     got = hot.half_up(hot.np.array(values)).tolist()
     assert got == [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(F.round("v", 4)).collect()]
+
+
+def test_masks_stand_for_characters(spark):
+    df = spark.createDataFrame([("acme 12", "12 emca"), ("", ""), ("a", ""), ("zz 9", "0 y z")], "a string, b string")
+    sets = X.jaccard(X.characters(F.col("a")), X.characters(F.col("b")))
+    masks = X.mask_jaccard(X.character_mask(F.col("a")), X.character_mask(F.col("b")))
+    assert all(r[0] == r[1] for r in df.select(sets, masks).collect())
