@@ -51,6 +51,18 @@ def test_counts(ends, pair_by_pair):
     assert evaluate.run_totals(ends[0], got).head()["n_pairs"] == pair_by_pair.count()
 
 
+def test_pairs_are_counted_without_meeting(ends, monkeypatch):
+    """References in one or two large blocks, some of which share targets, need no cells; those in more meet as before."""
+    large = blocking.large_blocks(*ends, CFG)
+    want = hot._met(*ends, large, hot._cell("count"), "s string, n bigint").groupBy("s").agg(F.sum("n").alias("n")).localCheckpoint()
+    assert rows(hot.counted(*ends, large), "s", "n") == rows(want, "s", "n")
+    sizes = hot.members(ends[0], large).select("entity_id", F.size("_blocks").alias("n")).localCheckpoint()
+    assert {1, 2, 3} <= {r["n"] for r in sizes.collect()}
+    few = ends[0].join(sizes.where("n <= 2"), "entity_id", "left_semi")
+    monkeypatch.setattr(hot, "_met", lambda *a: pytest.fail("pairs were looked at"))
+    assert rows(hot.counted(few, ends[1], large), "s", "n") == rows(want.join(few, want["s"] == few["entity_id"], "left_semi"), "s", "n")
+
+
 def test_cheap_scores(ends, pair_by_pair):
     want = scoring.cheap_score(pair_by_pair, *ends)
     assert rows(scoring.cheap_candidates(*ends, CFG), *want.columns) == rows(want, *want.columns)
