@@ -59,11 +59,15 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    write_csv(df, path, "\t")
+    _write(df, path, "\t")
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Delimited text with a header, quoted where needed; such as the summary of a sweep."""
+    """Delimited text with a header, quoted where needed, in one file; for a summary, such as that of a sweep."""
+    _write(df.coalesce(1), path, sep)
+
+
+def _write(df: DataFrame, path: str, sep: str) -> None:
     df.write.mode("overwrite").option("sep", sep).option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
 
 
