@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from ..functions.arrow import listed, uncollected
 from ..operators.skew import join_split, sampled
 from ..sources.scratch import materialize, shared_dir
 from .addresses import Address, address_like, parse_address
@@ -58,12 +59,13 @@ def name_of(form: str | None) -> Name | None:
     return Name(g, tuple(c.split()), tuple(b.split()), j or c)
 
 
+@uncollected
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Forms of name and address (an address without a house number is none). `fresh` marks the first row of its form in the task."""
     forms: set = set()
     for batch in batches:
         ids, names, addrs, countries, fresh = [], [], [], [], []
-        for i, n, a, c in zip(*(col.to_pylist() for col in batch.columns)):
+        for i, n, a, c in zip(*map(listed, batch.columns)):
             address = parse_address(a)
             name, addr = name_form(parse_name(n)), "|".join(address) if address and address.house else None
             if name is None and addr is None:
@@ -197,9 +199,10 @@ def label(name: Name | None, addr: Address | None, other_name: Name | None, othe
     return xxh3_64_intdigest(" ".join(parts)) >> 1 if parts else 0
 
 
+@uncollected
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cols = [col.to_pylist() for col in batch.columns[2:]]
+        cols = map(listed, batch.columns[2:])
         theta, ls, lt = [], [], []
         for xn, xa, xc, yn, ya, yc in zip(*cols):
             na, nb, aa, ab = name_of(xn), name_of(yn), Address(*xa.split("|")) if xa else None, Address(*ya.split("|")) if ya else None
