@@ -1,4 +1,6 @@
 """Pairs scored in batches, and what is retrieved once for several results."""
+import pyarrow as pa
+
 from kinfold.operators import blocking, hot, scoring
 from kinfold.plans import reference
 
@@ -41,3 +43,13 @@ def test_matches_do_not_prepare_the_references_again(spark, monkeypatch):
     monkeypatch.setattr(reference.entities, "reference", lambda *a: prepared.append(a) or keep(*a))
     reference.all_matches_alike(spark, "/root/testdata/sf0.001")
     assert len(prepared) == 1
+
+
+def test_cells_list_texts_without_a_scalar_each(monkeypatch):
+    listed = []
+    keep = hot.listed
+    monkeypatch.setattr(hot, "listed", lambda c: listed.append(len(c)) or keep(c))
+    rows = [{"_target": x != "S1-1", "_key": "k", "entity_id": x, "name_norm": "acme labs", "address_norm": "1 elm", "country": "US", "_others": None} for x in ("S1-1", "S2-1", "S2-2")]
+    schema = pa.schema({"_target": pa.bool_(), "_others": pa.list_(pa.string())} | dict.fromkeys(("_key", "entity_id", "name_norm", "address_norm", "country"), pa.string()))
+    out = pa.Table.from_batches(list(hot._cell("cheap")(iter(pa.Table.from_pylist(rows, schema).to_batches()))))
+    assert listed == [2, 2] and out.column("t").to_pylist() == ["S2-1", "S2-2"] and out.column("name_shared").to_pylist() == [2, 2]
