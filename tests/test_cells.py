@@ -48,12 +48,12 @@ def test_stage1_is_that_of_all_pairs(ends, chunks):
     assert rows(scoring.stage1_candidates(*ends, CFG), *columns) == rows(scoring.stage1(kept, *ends, CFG.top_k), *columns)
 
 
-@pytest.mark.parametrize("name", ["stage1_top20_production", "candidates_v1_production"])
+@pytest.mark.parametrize("name", ["stage1_top20_production", "candidates_v1_production", "topk_idf_production", "hybrid_rank_production"])
 def test_lists_of_several_chunks_match_sql(spark, chunks, name):
     same(spark, reference.queries(), reference_sql.oracle_sql(), name)
 
 
-@pytest.mark.parametrize("query", [reference.stage1_top20_production, reference.candidates_v1_production])
+@pytest.mark.parametrize("query", [reference.stage1_top20_production, reference.candidates_v1_production, reference.topk_idf_production, reference.hybrid_rank_production])
 def test_no_pair_is_written_or_joined(spark, monkeypatch, query):
     written = []
     for module in (blocking, cells):
