@@ -135,6 +135,11 @@ CHEAP = f"""cheap as (select *, round(name_exact * 100.0::double + address_exact
 stage1 as (select s, t, score, rank from (select s, t, score, row_number() over (partition by s order by score desc, t) as rank from cheap
   where name_exact = 1 or address_exact = 1 or name_shared >= 2 or address_shared >= 2 or score >= 30) where rank <= 20)"""
 
+# Candidates and stage 1 without cutoffs, caps and ranks: pairs of a country that share any token of a field or are equal in it, by the keep rule.
+ALL_CANDIDATES = f"""{base()}, cand as (select distinct s, t from (select x.entity_id as s, y.entity_id as t from {toks('s1', t1)} x
+  join {toks('tg', t1)} y using (country, field, token) union all {exact('name')} union all {exact('address')}))"""
+ALL_KEPT = CHEAP.replace(") where rank <= 20)", "))")
+
 
 def features(pairs: str, training: bool) -> str:
     kind, ch, both = (t1, letters, "1.0") if training else (t3, chars, "0.0")
@@ -324,7 +329,7 @@ def oracle_sql() -> dict[str, str]:
         "stage1_cheap_score": f"with {V2}, {CHEAP} select s as source1_entity_id, t as candidate_entity_id, name_exact, address_exact, name_shared, address_shared, score from cheap",
         "stage1_top20": f"with {V2}, {CHEAP} select s as source1_entity_id, t as candidate_entity_id, score, rank from stage1",
         "stage1_reduction": f"with {V2}, {CHEAP} select b as n_before, a as n_after, round(100.0::double * (1 - a::double / b), 4) as reduction_percent from (select (select count(*) from cand) as b, (select count(*) from stage1) as a)",
-        "features_serving": f"with {V2}, {CHEAP} {features('(select s, t from stage1)', False)}",
+        "features_serving": f"with {ALL_CANDIDATES}, {ALL_KEPT} {features('(select s, t from stage1)', False)}",
         "features_training": f"with {TRAIN} {features('tp', True)}",
         "truth_pairs": f"with {TRUTH} select s as source1_entity_id, t as target_entity_id from truth",
         "training_positives": f"with {TRAIN} select s as source1_entity_id, t as candidate_entity_id, label from pos",

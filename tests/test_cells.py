@@ -68,3 +68,26 @@ def test_shuffle_files_go_with_the_write(spark):
     before = kept()
     scratch.materialize(spark.range(1000).groupBy(F.col("id") % 10).count().withColumnsRenamed({"(id % 10)": "k"}), "few")
     assert not kept() - before
+
+
+def test_features_are_of_every_pair_worth_a_model(spark, ends, chunks, monkeypatch):
+    """No frequency, number of tokens, cap or rank leaves a pair out: the features of all pairs of a country that the keep rule takes."""
+    s1, tg = ends
+    every = s1.select(F.col("entity_id").alias("s")).distinct().crossJoin(tg.select(F.col("entity_id").alias("t")).distinct())
+    pairs = scoring.cheap_score(every, s1, tg).where(scoring.KEEP).select("s", "t").localCheckpoint()
+    assert pairs.groupBy("s").count().agg(F.max("count")).head()[0] > 20
+    want = scoring.features(pairs, s1, tg).withColumnsRenamed({"s": "source1_entity_id", "t": "candidate_entity_id"})
+    for n in ("LEAST_PASSING", "MOST_PASSING"):
+        monkeypatch.setattr(cells, n, 7)
+    monkeypatch.setattr(cells, "ROWS_AT_ONCE", 100)
+    monkeypatch.setattr(reference, "_kept", lambda s, d: ends)
+    got = reference.features_serving(spark, "")
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+
+
+def test_features_of_empty_and_wordless_tables(spark):
+    s1 = spark.createDataFrame([("S1-1", "a b", "", "US"), ("S1-2", "", "", "US"), ("S1-3", "a b", "7 x", None)], "entity_id string, name_norm string, address_norm string, country string")
+    tg = s1.withColumn("entity_id", F.concat(F.lit("S3-"), F.substring("entity_id", 4, 1)))
+    got = [r.asDict() for r in scoring.features_of_all(s1, tg).collect()]
+    assert [(r["s"], r["t"], r["name_exact"], r["name_jaccard"], r["name_length_ratio"], r["target_is_s3"]) for r in got] == [("S1-1", "S3-1", 1, 0.0, 1.0, 1)]
+    assert scoring.features_of_all(s1.limit(0), tg).count() == 0 and scoring.features_of_all(s1, tg.limit(0)).count() == 0
